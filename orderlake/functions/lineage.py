@@ -1,0 +1,36 @@
+"""Cutting lineage and choosing broadcasts."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A calendar of 500 years is 183,000 rows; nothing larger is broadcast by hint.
+BROADCAST_ROWS = 200_000
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only for local runs."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="orderlake-checkpoint-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Run the plan once and keep its rows in the shared folder, so losing an executor costs nothing
+    and later branches all read the very same rows."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast if the frame is counted and found small, else leave the join to Spark."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
