@@ -7,13 +7,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from orderlake.functions.columns import as_date
 from orderlake.functions.lineage import cut_lineage
 from orderlake.operators.joins import join_unique
-from orderlake.operators.ranking import tile
+from orderlake.operators.ranking import tile, tile_starts
 
 # Five tiles, tier names, and the days without an order after which a customer is gone.
 TILES = 5
@@ -52,10 +52,13 @@ def latest_value(daily: DataFrame, refund_safe: bool = False) -> DataFrame:
     return daily.groupBy("USER_ID").agg(value.alias("LATEST_LTV"))
 
 
+def _spending_order() -> list[Column]:
+    return [F.asc_nulls_first("LATEST_LTV"), F.asc("USER_ID")]
+
+
 def customer_quintile(daily: DataFrame, refund_safe: bool = False) -> DataFrame:
     """Spend quintile over all customers, 5 for the top spenders; ties go by ``USER_ID``."""
-    order = [F.asc_nulls_first("LATEST_LTV"), F.asc("USER_ID")]
-    return tile(latest_value(daily, refund_safe), TILES, order, "QUINTILE")
+    return tile(latest_value(daily, refund_safe), TILES, _spending_order(), "QUINTILE")
 
 
 def tier(quintile: str | Column = "QUINTILE") -> Column:
@@ -72,10 +75,31 @@ def tag_daily(daily: DataFrame, quintiles: DataFrame) -> DataFrame:
 
 
 def customer_value(lines: DataFrame) -> DataFrame:
-    """Daily spend, running total and tier. The daily rows are ranked and then tagged, so they are
-    computed once and kept rather than derived from the lines twice."""
-    daily = cut_lineage(daily_spend(lines))
-    return tag_daily(daily, customer_quintile(daily))
+    """Daily spend, running total and tier, as ``tag_daily`` would give.
+
+    Each daily row carries its customer's lifetime value, which shares the partitioning of the running
+    total. Where the tiles begin is at most four customers, and comparing with those tags the rows in
+    place: neither tiers nor daily rows are shuffled for a join. The daily rows are kept meanwhile.
+    """
+    whole = Window.partitionBy("USER_ID")
+    daily = cut_lineage(
+        daily_spend(lines).withColumn("LATEST_LTV", F.max("RUNNING_LTV").over(whole))
+    )
+    starts = tile_starts(latest_value(daily), TILES, _spending_order())
+    quintile = F.lit(1)
+    for start in starts:
+        quintile = quintile + _not_before(start).cast("int")
+    return daily.withColumn("CLV_TAG", tier(quintile)).drop("LATEST_LTV")
+
+
+def _not_before(start: Row) -> Column:
+    """The row's (lifetime value, customer) is that of ``start`` or comes after; nulls come first."""
+    value, user = F.col("LATEST_LTV"), F.col("USER_ID")
+    if start.LATEST_LTV is None:
+        return value.isNotNull() | (user >= start.USER_ID)
+    edge = F.lit(start.LATEST_LTV)
+    later = (value > edge) | ((value == edge) & (user >= start.USER_ID))
+    return F.coalesce(later, F.lit(False))
 
 
 def line_running_value(lines: DataFrame) -> DataFrame:
@@ -144,14 +168,26 @@ def value_as_of(daily: DataFrame, *days: str | dt.date) -> DataFrame:
 
 def tier_migration(daily: DataFrame, before: str | dt.date, after: str | dt.date) -> DataFrame:
     """Customers by tier on two days; ``New`` where a customer had no order yet."""
+    tags = {"FROM_TAG": as_date(before), "TO_TAG": as_date(after)}
+    until = {name: F.col("SNAPSHOT_DATE") <= F.lit(day) for name, day in tags.items()}
+    # the values on both days in one pass, kept for the two rankings
+    values = cut_lineage(
+        daily.groupBy("USER_ID").agg(
+            *[F.max(F.when(past, F.col("RUNNING_LTV"))).alias(f"LTV_{n}") for n, past in until.items()],
+            *[F.bool_or(past).alias(f"IN_{n}") for n, past in until.items()],
+        )
+    )
 
-    def tiers(day: str | dt.date, name: str) -> DataFrame:
-        until = daily.filter(F.col("SNAPSHOT_DATE") <= F.lit(as_date(day)))
-        return customer_quintile(until).select("USER_ID", tier().alias(name))
+    def tiers(name: str) -> DataFrame:
+        value = f"LTV_{name}"
+        present = values.filter(f"IN_{name}").select("USER_ID", value)
+        tiled = tile(present, TILES, [F.asc_nulls_first(value), F.asc("USER_ID")], "QUINTILE")
+        return tiled.select("USER_ID", tier().alias(name))
 
-    both = tiers(before, "FROM_TAG").join(tiers(after, "TO_TAG"), "USER_ID", "full")
     return (
-        both.fillna(NEW, ["FROM_TAG", "TO_TAG"])
+        tiers("FROM_TAG")
+        .join(tiers("TO_TAG"), "USER_ID", "full")
+        .fillna(NEW, list(tags))
         .groupBy("FROM_TAG", "TO_TAG")
         .agg(F.count(F.lit(1)).alias("CUSTOMERS"))
     )

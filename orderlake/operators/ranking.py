@@ -1,8 +1,16 @@
-"""Exact global row numbers, tiles and ranks without gathering the rows in one partition."""
+"""Exact global row numbers, tiles and ranks without gathering the rows in one partition.
+
+A range-partitioned sort puts whole key ranges into partitions, and an id made of partition and place
+within it records where each row came to lie. The partition sizes, one number per partition, then give
+the id of the row at any global position. The order has to be total, so that a tie of any size is cut
+into even ranges. The sorted rows are kept once: a second sort could cut elsewhere.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from orderlake.functions.lineage import cut_lineage
@@ -10,50 +18,69 @@ from orderlake.operators.joins import join_unique
 
 # monotonically_increasing_id() keeps the partition above this bit and the row's place below it
 _PLACE_BITS = 33
+_ID = "_sorted_id"
 
 
-def number_rows(df: DataFrame, order: list[Column], number: str, total: str) -> DataFrame:
-    """Add the 1-based position of each row in the global order, and the number of rows.
-
-    A range-partitioned sort puts whole key ranges into partitions; each row's place in its partition
-    plus the sizes of the partitions before it is its global position. Only the partition sizes (one
-    row per partition) meet in one task. ``order`` must be a total order, so that a tie of any size
-    is cut into even ranges. The sorted rows are kept once: a second sort could cut elsewhere.
-    """
-    placed = cut_lineage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
-    part = F.shiftright("_at", _PLACE_BITS).alias("_part")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (
-        placed.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_part",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-            F.sum("_n").over(Window.partitionBy()).alias(total),
-        )
-    )
-    place = F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    return (
-        placed.withColumn("_part", F.shiftright("_at", _PLACE_BITS))
-        .join(F.broadcast(sizes), "_part")
-        .withColumn(number, F.col("_before") + place + 1)
-        .drop("_at", "_part", "_before")
-    )
+def _sort(df: DataFrame, order: list[Column]) -> DataFrame:
+    return cut_lineage(df.orderBy(*order).withColumn(_ID, F.monotonically_increasing_id()))
+
+
+def _sizes(placed: DataFrame) -> list[tuple[int, int]]:
+    """(partition, rows) in order; as many entries as the sort had partitions."""
+    part = F.shiftright(_ID, _PLACE_BITS).alias("part")
+    counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()
+    return sorted((row.part, row.n) for row in counts)
+
+
+def _tile_ids(sizes: list[tuple[int, int]], k: int) -> list[int]:
+    """Ids of the first rows of tiles 2 to ``k``; the first ``n % k`` tiles hold one row more."""
+    total = sum(n for _, n in sizes)
+    size, larger = divmod(total, k)
+    starts = [t * size + min(t, larger) for t in range(1, k)]
+    ids, before = [], 0
+    for part, n in sizes:
+        inside = [s - before for s in starts if before <= s < before + n]
+        ids += [(part << _PLACE_BITS) + place for place in inside]
+        before += n
+    return ids
 
 
 def tile(df: DataFrame, k: int, order: list[Column], name: str) -> DataFrame:
-    """``ntile(k)`` over the whole frame: the first ``n % k`` tiles hold one row more."""
-    numbered = number_rows(df, order, "_rn", "_total").withColumns(
-        {"_size": F.expr(f"_total div {k}"), "_larger": F.col("_total") % k}
+    """``ntile(k)`` over the whole frame."""
+    placed = _sort(df, order)
+    number = F.lit(1)
+    for first in _tile_ids(_sizes(placed), k):
+        number = number + (F.col(_ID) >= first).cast("int")
+    return placed.withColumn(name, number).drop(_ID)
+
+
+def tile_starts(df: DataFrame, k: int, order: list[Column]) -> list[Row]:
+    """The first rows of tiles 2 to ``k``, at most ``k - 1``. A row's tile is one more than the
+    number of them that do not come after it, so other frames can be tiled without a join."""
+    placed = _sort(df, order)
+    ids = _tile_ids(_sizes(placed), k)
+    return placed.filter(F.col(_ID).isin(ids)).drop(_ID).collect() if ids else []
+
+
+def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add the 1-based position of each row in the global order."""
+    placed = _sort(df, order)
+    sizes = _sizes(placed)
+    before = accumulate((n for _, n in sizes), initial=0)
+    offsets = df.sparkSession.createDataFrame(
+        [(part, start) for (part, _), start in zip(sizes, before)], "_part bigint, _before bigint"
     )
-    index = F.expr(
-        "CASE WHEN _rn <= _larger * (_size + 1) THEN (_rn - 1) div (_size + 1) + 1 "
-        "ELSE _larger + (_rn - 1 - _larger * (_size + 1)) div greatest(_size, 1) + 1 END"
+    place = F.col(_ID).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return (
+        placed.withColumn("_part", F.shiftright(_ID, _PLACE_BITS))
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(name, F.col("_before") + place + 1)
+        .drop(_ID, "_part", "_before")
     )
-    return numbered.withColumn(name, index.cast("int")).drop("_rn", "_total", "_size", "_larger")
 
 
 def rank_desc(df: DataFrame, value: str, key: str, name: str) -> DataFrame:
     """``rank()`` by ``value``, largest first; equal values share the smallest position."""
-    numbered = number_rows(df, [F.desc_nulls_last(value), F.asc(key)], "_rn", "_total")
+    numbered = number_rows(df, [F.desc_nulls_last(value), F.asc(key)], "_rn")
     first = numbered.groupBy(value).agg(F.min("_rn").cast("int").alias(name))
-    return join_unique(numbered, first, [value], "left", null_safe=True).drop("_rn", "_total")
+    return join_unique(numbered, first, [value], "left", null_safe=True).drop("_rn")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.functions.lineage import spread
+
 # One in so many orders is a guest's, lacks its line key, or has orphaned options.
 GUEST_EVERY, CORRUPT_EVERY, ORPHAN_EVERY = 11, 1009, 997
 HOLIDAYS = {(1, 1): "New Year", (7, 4): "July 4", (12, 25): "Christmas"}
@@ -14,8 +16,13 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def _lineitem(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(_read(spark, folder, "lineitem"), "l_orderkey")
+
+
 def _text(*parts: str | Column) -> Column:
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+    # unlike concat() never null, so that a test for null costs nothing
+    return F.concat_ws("", *[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
 def _line_id() -> Column:
@@ -34,7 +41,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     member = known & (F.col("c_mktsegment") == "BUILDING")
     corrupt = (F.col("l_orderkey") % CORRUPT_EVERY == 0) & (F.col("l_linenumber") == 1)
     joined = (
-        _read(spark, folder, "lineitem")
+        _lineitem(spark, folder)
         .join(_read(spark, folder, "orders"), F.col("l_orderkey") == order_key)
         .join(_read(spark, folder, "customer"), user == F.col("c_custkey"))
         .join(_read(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -63,7 +70,7 @@ def order_item_options(spark: SparkSession, folder: str) -> DataFrame:
     orphan = F.col("l_orderkey") % ORPHAN_EVERY == 0
     how_many = ((F.col("l_orderkey") + F.col("l_linenumber")) % 4).cast("int")
     return (
-        _read(spark, folder, "lineitem")
+        _lineitem(spark, folder)
         .filter(how_many > 0)
         .withColumn("k", F.explode(F.sequence(F.lit(1), how_many)))
         .select(

@@ -58,3 +58,13 @@ def test_last_running_total_is_the_total(silver):
     highest = running.groupBy("USER_ID").agg(F.max("RUNNING_LTV").alias("v"))
     totals = silver.groupBy("USER_ID").agg(F.sum("LINE_REVENUE").alias("v"))
     assert highest.exceptAll(totals).isEmpty() and totals.exceptAll(highest).isEmpty()
+
+
+@pytest.mark.parametrize("change", ["LINE_REVENUE", "CAST(7 AS DECIMAL(32,2))", "IF(USER_ID < 'U5', NULL, LINE_REVENUE)"])
+def test_tagging_in_place_equals_the_join(silver, change):
+    lines = silver.withColumn("LINE_REVENUE", F.expr(change).cast("decimal(32,2)"))
+    daily = customers.daily_spend(lines)
+    joined = customers.tag_daily(daily, customers.customer_quintile(daily))
+    direct = customers.customer_value(lines)
+    assert direct.columns == joined.columns
+    assert direct.exceptAll(joined).isEmpty() and joined.exceptAll(direct).isEmpty()
