@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,29 +35,29 @@ class Tables:
     """The order tables of one folder, and the silver table made from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder
+        self._star = views.Star(spark, folder)
 
-    @property
+    @cached_property
     def items(self) -> DataFrame:
-        return views.order_items(self._spark, self._folder)
+        return views.order_items(self._star)
 
-    @property
+    @cached_property
     def options(self) -> DataFrame:
-        return views.order_item_options(self._spark, self._folder)
+        return views.order_item_options(self._star)
 
-    @property
+    @cached_property
     def date_dim(self) -> DataFrame:
-        return views.date_dim(self._spark, self._folder)
+        return views.date_dim(self._star)
 
-    @property
+    @cached_property
     def calendar(self) -> DataFrame:
         return enrich.parse_calendar(self.date_dim)
 
-    @property
+    @cached_property
     def valid(self) -> DataFrame:
         return quality.valid_items(self.items)
 
-    @property
+    @cached_property
     def silver(self) -> DataFrame:
         return enrich.enrich_lines(self.items, self.options)
 
@@ -68,8 +69,8 @@ class Tables:
             "date_dim": self.date_dim,
         }
 
-    def __getitem__(self, name: str) -> DataFrame:
-        return self.all[name]
+    def read(self, table: str) -> DataFrame:
+        return self.all[table]
 
 
 def _money(df: DataFrame) -> DataFrame:
@@ -98,23 +99,23 @@ def scan_partition(t: Tables) -> DataFrame:
 
 @query
 def incremental_items(t: Tables) -> DataFrame:
-    return incremental.select_batch("order_items", t.__getitem__, WATERMARK).select(*LINE_KEY)
+    return incremental.select_batch("order_items", t.read, WATERMARK).select(*LINE_KEY)
 
 
 @query
 def incremental_options(t: Tables) -> DataFrame:
-    batch = incremental.select_batch("order_item_options", t.__getitem__, WATERMARK)
+    batch = incremental.select_batch("order_item_options", t.read, WATERMARK)
     return batch.select(*LINE_KEY, "OPTION_NAME")
 
 
 @query
 def full_reload_dim(t: Tables) -> DataFrame:
-    return incremental.select_batch("date_dim", t.__getitem__, WATERMARK).select("date_key")
+    return incremental.select_batch("date_dim", t.read, WATERMARK).select("date_key")
 
 
 @query
 def batch_watermark(t: Tables) -> DataFrame:
-    batch = incremental.select_batch("order_items", t.__getitem__, WATERMARK)
+    batch = incremental.select_batch("order_items", t.read, WATERMARK)
     highest = incremental.highest(batch, "CREATION_TIME_UTC")
     return highest.select(watermark_text("CREATION_TIME_UTC").alias("WATERMARK"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +14,30 @@ GUEST_EVERY, CORRUPT_EVERY, ORPHAN_EVERY = 11, 1009, 997
 HOLIDAYS = {(1, 1): "New Year", (7, 4): "July 4", (12, 25): "Christmas"}
 
 
-def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+class Star:
+    """The star-schema tables of a folder, each opened once."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder
+
+    def _open(self, table: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return spread(self._open("lineitem"), "l_orderkey")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._open("orders")
 
+    @cached_property
+    def customer(self) -> DataFrame:
+        return self._open("customer")
 
-def _lineitem(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(_read(spark, folder, "lineitem"), "l_orderkey")
+    @cached_property
+    def part(self) -> DataFrame:
+        return self._open("part")
 
 
 def _text(*parts: str | Column) -> Column:
@@ -34,17 +54,16 @@ def _line_id() -> Column:
     return _text("L", order, dash, line, dash, part, dash, supplier, dash, shipped)
 
 
-def order_items(spark: SparkSession, folder: str) -> DataFrame:
+def order_items(star: Star) -> DataFrame:
     """Order lines, one per lineitem."""
     order_key, user = F.col("o_orderkey"), F.col("o_custkey")
     known = order_key % GUEST_EVERY != 0
     member = known & (F.col("c_mktsegment") == "BUILDING")
     corrupt = (F.col("l_orderkey") % CORRUPT_EVERY == 0) & (F.col("l_linenumber") == 1)
     joined = (
-        _lineitem(spark, folder)
-        .join(_read(spark, folder, "orders"), F.col("l_orderkey") == order_key)
-        .join(_read(spark, folder, "customer"), user == F.col("c_custkey"))
-        .join(_read(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        star.lineitem.join(star.orders, F.col("l_orderkey") == order_key)
+        .join(star.customer, user == F.col("c_custkey"))
+        .join(star.part, F.col("l_partkey") == F.col("p_partkey"))
     )
     return joined.select(
         F.when(F.col("l_orderkey") % 3 == 0, "web").otherwise("mobile").alias("APP_NAME"),
@@ -63,15 +82,14 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_item_options(spark: SparkSession, folder: str) -> DataFrame:
+def order_item_options(star: Star) -> DataFrame:
     """None to three options per lineitem."""
     number = F.col("k")
     priced = (F.col("l_partkey") % 500).cast("decimal(10,2)") * F.lit("0.01").cast("decimal(3,2)")
     orphan = F.col("l_orderkey") % ORPHAN_EVERY == 0
     how_many = ((F.col("l_orderkey") + F.col("l_linenumber")) % 4).cast("int")
     return (
-        _lineitem(spark, folder)
-        .filter(how_many > 0)
+        star.lineitem.filter(how_many > 0)
         .withColumn("k", F.explode(F.sequence(F.lit(1), how_many)))
         .select(
             _text(F.when(orphan, "X").otherwise("O"), F.col("l_orderkey")).alias("ORDER_ID"),
@@ -84,7 +102,7 @@ def order_item_options(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def date_dim(spark: SparkSession, folder: str) -> DataFrame:
+def date_dim(star: Star) -> DataFrame:
     """One calendar row per order day, keys in two spellings."""
     day = F.col("d")
     short = (F.year(day) >= 2000) & (F.dayofmonth(day) % 2 == 0)
@@ -97,7 +115,7 @@ def date_dim(spark: SparkSession, folder: str) -> DataFrame:
     def flag(condition: Column) -> Column:
         return F.when(condition, "true").otherwise("false")
 
-    days = _read(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("d"))
+    days = star.orders.select(F.col("o_orderdate").cast("date").alias("d"))
     return days.distinct().select(
         F.when(short, F.date_format(day, "M/d/yy")).otherwise(F.date_format(day, "dd-MM-yyyy")).alias("date_key"),
         F.year(day).alias("year"),
