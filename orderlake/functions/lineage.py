@@ -36,8 +36,8 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def spread(df: DataFrame, key: str, most: int = 256) -> DataFrame:
+def spread(df: DataFrame, *keys: str, most: int = 256) -> DataFrame:
     """Give a table that arrives in fewer pieces than there are cores a piece per core. Large tables
     come in many pieces and are left as they are."""
     cores = min(df.sparkSession.sparkContext.defaultParallelism, most)
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -25,7 +25,7 @@ class Star:
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        return spread(self._open("lineitem"), "l_orderkey")
+        return spread(self._open("lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
 
     @cached_property
     def orders(self) -> DataFrame:

@@ -11,6 +11,8 @@ SETTINGS = {
     # AQE sizes the shuffles, splits hot join keys and picks broadcasts from measured sizes
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # sizes are compressed, and copies of one row compress well, so look for hot keys earlier
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
