@@ -136,7 +136,7 @@ def flag_churn(scores: DataFrame, days: int = CHURN_DAYS) -> DataFrame:
 
 def rfm_scores(scores: DataFrame) -> DataFrame:
     """Quintiles of recency, frequency and value, 5 being the best; ties go by ``USER_ID``.
-    The reference work names such segments without defining them; this definition is ours."""
+    Such segments have no common definition; equal fifths per measure is the one chosen here."""
     orders = {
         "R_SCORE": F.desc("RECENCY"),
         "F_SCORE": F.asc("FREQUENCY"),

@@ -34,6 +34,11 @@ class Batch:
     hi: str | None
     rows: dict[str, int]
 
+    @property
+    def advanced(self) -> bool:
+        """The load moved the watermark, which it does only to something strictly newer."""
+        return self.hi is not None and self.hi > self.lo
+
 
 class Lake:
     """Paths and ledgers under one root folder."""

@@ -278,3 +278,26 @@ def test_discounts_are_negative_prices(spark):
     assert (row.NUM_DISCOUNTS, row.TOTAL_DISCOUNT) == (1, D("-3.00"))
     none = sales.discounts(rows.filter("OPTION_PRICE > 0")).first()
     assert (none.NUM_DISCOUNTS, none.TOTAL_DISCOUNT) == (0, 0)
+
+
+def test_days_the_calendar_lacks(spark):
+    rows = [("u", "A", day("2024-01-01"), 1.0), ("u", "B", day("2024-01-02"), 2.0), ("u", "B", day("2024-01-02"), 2.0)]
+    frame = lines(spark, rows, LINE)
+    known = enrich.parse_calendar(calendar(spark, ["01-01-2024", "03-01-2024"]))
+    assert [r.ORDER_DATE for r in sales.join_calendar(frame, known).collect()] == [day("2024-01-01")]
+    kept = sales.join_calendar(frame, known, "left")
+    assert kept.count() == 3 and kept.filter("day_of_week IS NULL").count() == 2
+    (missing,) = sales.missing_days(frame, known).collect()
+    assert (missing.ORDER_DATE, missing.NUM_LINE_ITEMS) == (day("2024-01-02"), 2)
+    assert sales.sales_calendar(frame, known).count() == 1
+
+
+def test_lookups(spark):
+    opts = options(spark, [("A", "L1", "x", 1, 1), ("A", "L2", "y", 1, 1), ("B", "L1", "z", 1, 1)])
+    assert sales.of_order_line(opts, "A").count() == 2
+    (row,) = sales.of_order_line(opts, "A", "L1").collect()
+    assert row.OPTION_NAME == "x"
+    frame = lines(spark, [("u", "A", day("2024-01-01"), 1.0)], LINE)
+    assert sales.on_order_day(frame, "2024-01-01").count() == 1
+    one = customers.daily_spend(frame.filter("USER_ID = 'u'")).orderBy("SNAPSHOT_DATE")
+    assert one.first().RUNNING_LTV == 1

@@ -54,6 +54,10 @@ def test_rewriting_a_partition_leaves_the_others(spark, tmp_path):
     for frame in (first, first, other):
         sinks.replace_partitions(frame, path)
     assert sorted(r.ORDER_ID for r in spark.read.parquet(path).collect()) == ["A", "B"]
+    by_date = str(tmp_path / "by_date")
+    dated = first.withColumn("ORDER_DATE", F.lit(dt.date(2024, 1, 1)))
+    sinks.replace_partitions(dated, by_date, ("ORDER_DATE",))
+    assert spark.read.parquet(by_date).first().ORDER_DATE == dt.date(2024, 1, 1)
     flat = str(tmp_path / "flat")
     for frame in (first, other):
         sinks.replace_table(frame, flat)
