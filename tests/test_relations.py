@@ -68,3 +68,16 @@ def test_tagging_in_place_equals_the_join(silver, change):
     direct = customers.customer_value(lines)
     assert direct.columns == joined.columns
     assert direct.exceptAll(joined).isEmpty() and joined.exceptAll(direct).isEmpty()
+
+
+def test_subtotals_equal_cube_and_rollup(silver):
+    lines = silver.withColumn("ORDER_ID", F.expr("IF(ORDER_ID > 'O5', NULL, ORDER_ID)"))
+    totals = (F.sum("LINE_REVENUE").alias("r"), F.count_distinct("ORDER_ID").alias("n"))
+    level = F.grouping_id().cast("int").alias("g")
+    for ours, theirs, columns in (
+        (sales.revenue_cube(lines), lines.cube("IS_LOYALTY", "RESTAURANT_ID", "APP_NAME"), ["IS_LOYALTY", "RESTAURANT_ID", "APP_NAME"]),
+        (sales.location_channel(lines), lines.rollup("RESTAURANT_ID", "APP_NAME"), ["RESTAURANT_ID", "APP_NAME"]),
+    ):
+        got = ours.select(F.col("GROUPING_LEVEL").alias("g"), *columns, "TOTAL_REVENUE", "NUM_ORDERS")
+        want = theirs.agg(level, *totals).select("g", *columns, "r", "n")
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
