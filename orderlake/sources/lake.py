@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,14 +50,16 @@ class Lake:
 
     # ledgers: one tiny file per commit, a handful of rows each
 
+    def _exists(self, path: str) -> bool:
+        context = self.spark.sparkContext
+        file = context._jvm.org.apache.hadoop.fs.Path(path)
+        return file.getFileSystem(context._jsc.hadoopConfiguration()).exists(file)
+
     def ledger(self, name: str) -> DataFrame:
-        schema = _LEDGERS[name]
-        try:
-            return self.spark.read.schema(schema).parquet(self.zone("ops", name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        schema, path = _LEDGERS[name], self.zone("ops", name)
+        if not self._exists(path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def commit(self, name: str, rows: list[tuple]) -> None:
         """Append ledger rows as one file, which appears whole or not at all."""
