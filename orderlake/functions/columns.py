@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,16 +11,6 @@ from pyspark.sql import functions as F
 DATE_KEY_FORMATS = ("dd-MM-yyyy", "M/d/yy")
 
 
-def any_null(columns: list[str]) -> Column:
-    """True when at least one of the columns is null; never null itself."""
-    return reduce(or_, [F.col(c).isNull() for c in columns])
-
-
-def null_reason(columns: list[str]) -> Column:
-    """Text naming the columns that are null, e.g. ``A is NULL, B is NULL``."""
-    return F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(f"{c} is NULL")) for c in columns])
-
-
 def parse_date_key(key: str | Column) -> Column:
     """Date of a calendar key in either spelling, null if it fits neither."""
     return F.coalesce(*[F.try_to_date(key, fmt) for fmt in DATE_KEY_FORMATS])

@@ -12,17 +12,19 @@ from pyspark.sql import functions as F
 
 from orderlake.functions.columns import as_date
 from orderlake.functions.lineage import cut_lineage
-from orderlake.operators.joins import join_unique
+from orderlake.operators.joins import join_unique, present
 from orderlake.operators.ranking import tile, tile_starts
 
-# Five tiles, tier names, and the days without an order after which a customer is gone.
-TILES = 5
-HIGH, MEDIUM, LOW, NEW = "High", "Med", "Low", "New"
+# The tier of each spend quintile, lowest first, and of a customer not yet seen; the days
+# without an order after which a customer is gone.
+TIERS = ("Low", "Med", "Med", "Med", "High")
+MEDIUM, NEW = "Med", "New"
 CHURN_DAYS = 90
+TILES = len(TIERS)
 
 
 def _known(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("USER_ID").isNotNull())
+    return present(df, ["USER_ID"])
 
 
 def _running(df: DataFrame, spend: str, day: str) -> DataFrame:
@@ -61,10 +63,10 @@ def customer_quintile(daily: DataFrame, refund_safe: bool = False) -> DataFrame:
     return tile(latest_value(daily, refund_safe), TILES, _spending_order(), "QUINTILE")
 
 
-def tier(quintile: str | Column = "QUINTILE") -> Column:
+def tier(quintile: str = "QUINTILE") -> Column:
     """Tier name of a quintile; the three in the middle, and null, are medium."""
-    quintile = F.col(quintile) if isinstance(quintile, str) else quintile
-    return F.when(quintile == TILES, HIGH).when(quintile == 1, LOW).otherwise(MEDIUM)
+    names = F.array(*[F.lit(name) for name in TIERS])
+    return F.coalesce(F.get(names, F.col(quintile) - 1), F.lit(MEDIUM))
 
 
 def tag_daily(daily: DataFrame, quintiles: DataFrame) -> DataFrame:
@@ -89,7 +91,8 @@ def customer_value(lines: DataFrame) -> DataFrame:
     quintile = F.lit(1)
     for start in starts:
         quintile = quintile + _not_before(start).cast("int")
-    return daily.withColumn("CLV_TAG", tier(quintile)).drop("LATEST_LTV")
+    tagged = daily.withColumn("QUINTILE", quintile).withColumn("CLV_TAG", tier())
+    return tagged.drop("LATEST_LTV", "QUINTILE")
 
 
 def _not_before(start: Row) -> Column:

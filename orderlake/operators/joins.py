@@ -32,6 +32,13 @@ def join_unique(
     return left.join(right, match, how).drop(_HASH, *renamed.values())
 
 
+def present(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows without a null in the columns. Plain conditions reach the scan, ``dropna`` does not."""
+    for column in columns:
+        df = df.filter(F.col(column).isNotNull())
+    return df
+
+
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """The keys that can match at all: no nulls, each once (reduced before the shuffle)."""
-    return df.select(*keys).dropna("any").distinct()
+    return present(df.select(*keys), keys).distinct()

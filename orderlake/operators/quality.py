@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions.columns import any_null, null_reason
-from orderlake.operators.joins import distinct_keys, join_unique
+from orderlake.operators.joins import distinct_keys, join_unique, present
 from orderlake.schemas import LINE_KEY, REQUIRED_ITEM_COLUMNS
 
 # Fixed value: the reason given to an option without a valid line.
@@ -16,14 +15,25 @@ ORPHAN_REASON = "ORPHAN_OPTION_NO_MATCHING_ORDER"
 REASON = "REJECT_REASON"
 
 
+def missing(columns: list[str]) -> dict[str, Column]:
+    """One rule per column: the reason given, and when it applies."""
+    return {f"{c} is NULL": F.isnull(c) for c in columns}
+
+
+def rejected(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Rows that break a rule, with the reasons of all broken rules in ``REJECT_REASON``."""
+    reasons = [F.when(broken, reason) for reason, broken in rules.items()]
+    return df.withColumn(REASON, F.concat_ws(", ", *reasons)).filter(F.col(REASON) != "")
+
+
 def valid_items(items: DataFrame, required: list[str] = REQUIRED_ITEM_COLUMNS) -> DataFrame:
     """Lines with every required column present."""
-    return items.filter(~any_null(required))
+    return present(items, required)
 
 
 def corrupt_items(items: DataFrame, required: list[str] = REQUIRED_ITEM_COLUMNS) -> DataFrame:
-    """Lines lacking a required column, with the missing columns named in ``REJECT_REASON``."""
-    return items.filter(any_null(required)).withColumn(REASON, null_reason(required))
+    """Lines lacking a required column, with the missing columns named."""
+    return rejected(items, missing(required))
 
 
 def valid_options(
@@ -51,8 +61,7 @@ def lines_without_options(
 
 def corrupt_options(options: DataFrame) -> DataFrame:
     """Options without a price or quantity. Sums skip them, so they are reported, not rejected."""
-    columns = ["OPTION_PRICE", "OPTION_QUANTITY"]
-    return options.filter(any_null(columns)).withColumn(REASON, null_reason(columns))
+    return rejected(options, missing(["OPTION_PRICE", "OPTION_QUANTITY"]))
 
 
 def nonempty(df: DataFrame, column: str, blank_is_empty: bool = False) -> DataFrame:

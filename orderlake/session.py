@@ -14,6 +14,7 @@ SETTINGS = {
     # sizes are compressed, and copies of one row compress well, so look for hot keys earlier
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlake.functions import lineage
-from orderlake.operators import customers, enrich, quality, sales
+from orderlake.operators import customers, enrich, incremental, quality, sales
 from orderlake.plans.queries import Tables, registered
 from orderlake.sources.sinks import replace_partitions
 
@@ -91,20 +91,36 @@ def test_guests_and_one_large_customer_are_split(spark, shuffled):
     n = 120_000
     lines = spark.range(0, n, 1, 8).select(
         F.when(F.col("id") % 3 == 1, "big").when(F.col("id") % 3 == 2, F.concat(F.lit("u"), "id")).alias("USER_ID"),
-        F.expr("date'2024-01-01' + int(id % 2)").alias("ORDER_DATE"),
+        F.lit("2024-01-01").cast("date").alias("ORDER_DATE"),
         F.sha2(F.col("id").cast("string"), 256).alias("LINEITEM_ID"),
         F.lit(1).cast("decimal(12,2)").alias("LINE_REVENUE"),
     )
-    running = customers.line_running_value(lines)
-    result = running.groupBy("USER_ID").agg(F.max("RUNNING_LTV").alias("v"), F.max("LINEITEM_ID").alias("m"))
-    got = result.filter("USER_ID IS NULL OR USER_ID = 'big'").collect()
-    assert {r.USER_ID: r.v for r in got} == {None: n // 3, "big": n // 3}
-    result.filter("m > ''").count()
-    text = plan(running)
-    assert "Window" in text
-    window = text[text.index("Window") :]
+    result = customers.line_running_value(lines).groupBy("RUNNING_LTV").agg(
+        F.count(F.lit(1)).alias("n"), F.max("LINEITEM_ID").alias("m")
+    )
+    assert {(r.RUNNING_LTV, r.n) for r in result.collect()} == {(n // 3, 2 * n // 3), (1, n // 3)}
+    text = plan(result)
+    assert "skew=true" in text
     # what enters the window are daily sums
-    assert "HashAggregate" in window.split("Scan")[0]
+    window = text[text.index("Window [") :]
+    assert "HashAggregate" in window[: window.index("Range")]
+
+
+def test_hot_key_is_split_when_the_newest_version_is_kept(spark, shuffled):
+    lines = hot_lines(spark).withColumn("batch_id", F.lit(3).cast("bigint"))
+    kept = incremental.newest_per_key(lines, ["LINEITEM_ID"], "batch_id")
+    result = kept.agg(F.count(F.lit(1)).alias("n"), F.max("ITEM_NAME").alias("m"))
+    assert result.collect()[0].n == 120_000
+    assert "skew=true" in plan(result)
+
+
+def test_hot_line_is_split_when_its_load_is_selected(spark, shuffled):
+    created = F.lit("2024-01-02").cast("timestamp").alias("CREATION_TIME_UTC")
+    tables = {"order_items": hot_lines(spark).select("*", created), "order_item_options": hot_options(spark)}
+    batch = incremental.select_batch("order_item_options", tables.get, "2024-01-01")
+    result = batch.agg(F.count(F.lit(1)).alias("n"), F.max("OPTION_NAME").alias("m"))
+    assert result.collect()[0].n == 120_000
+    assert "skew=true" in plan(result)
 
 
 def test_hot_day_is_written_by_several_tasks(spark, settings, tmp_path):
