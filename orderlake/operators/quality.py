@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +22,11 @@ def missing(columns: list[str]) -> dict[str, Column]:
 
 
 def rejected(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Rows that break a rule, with the reasons of all broken rules in ``REJECT_REASON``."""
+    """Rows that break a rule, with the reasons of all broken rules in ``REJECT_REASON``. The rules
+    themselves are the filter, so that a scan skips row groups without nulls."""
     reasons = [F.when(broken, reason) for reason, broken in rules.items()]
-    return df.withColumn(REASON, F.concat_ws(", ", *reasons)).filter(F.col(REASON) != "")
+    bad = df.filter(reduce(or_, rules.values()))
+    return bad.withColumn(REASON, F.concat_ws(", ", *reasons))
 
 
 def valid_items(items: DataFrame, required: list[str] = REQUIRED_ITEM_COLUMNS) -> DataFrame:

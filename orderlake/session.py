@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # a session that runs many queries keeps their generated code
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
 }
 

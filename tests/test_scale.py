@@ -36,6 +36,13 @@ def test_scans_read_the_columns_they_need(spark, small_data):
     assert "GreaterThanOrEqual(o_orderdate" in day
 
 
+def test_null_checks_reach_the_scan(spark, small_data):
+    orders = spark.read.parquet(f"{small_data}/orders.parquet")
+    keys = ["o_orderkey", "o_custkey"]
+    assert "IsNotNull(o_orderkey), IsNotNull(o_custkey)" in plan(quality.valid_items(orders, keys))
+    assert "Or(IsNull(o_orderkey),IsNull(o_custkey))" in plan(quality.corrupt_items(orders, keys))
+
+
 def hot_lines(spark, n=120_000):
     """Lines of which a third share one key, wide enough to weigh something."""
     hot = F.col("id") % 3 == 0
