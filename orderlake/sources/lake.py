@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.schemas import FLOOR_WATERMARK, SCHEMAS
+from orderlake.session import in_utc
 
 _LEDGERS = {
     "batches": "batch_id bigint, table_name string, load_date date, lo string, hi string, "
@@ -40,10 +41,10 @@ class Batch:
 
 
 class Lake:
-    """Paths and ledgers under one root folder."""
+    """Paths and ledgers under one root folder. Watermarks and days are in UTC, and so the session."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.root = in_utc(spark), root.rstrip("/")
 
     def zone(self, *parts: object) -> str:
         return "/".join([self.root, *map(str, parts)])
