@@ -7,9 +7,10 @@ is the anchor of a window. So a window can only be repeated if its anchor is cou
 * First pass: a count-min sketch of the anchors of each partition; the sketches are merged cell by cell
   and kept as bits saying "twice or more". The sketch has a fixed size. When it fills up it lets more
   windows through; it never holds one back, since it only ever counts too much.
-* Second pass: windows whose anchor is estimated twice are gathered to maximal runs. Equal runs, as copied
-  documents and passages have, are counted first and settle all their windows at once. One of each kind
-  of run is cut into windows, and these are grouped exactly, by 128 bits of hash.
+* Second pass: windows whose anchor is estimated twice are gathered to runs, one per anchor, about eight
+  windows each. Copies and near copies have most runs in common, whatever stands around them. Equal runs
+  are counted first and settle all their windows at once; one of each kind of run is cut into windows,
+  and these are grouped exactly, by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -161,12 +162,13 @@ _SCANNED = (
 )
 
 
-def _runs(chosen: np.ndarray, words: W.Words) -> tuple[np.ndarray, np.ndarray]:
-    """First window and number of windows of maximal runs of neighbouring windows of one text."""
+def _runs(chosen: np.ndarray, anchors: np.ndarray, words: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of runs of neighbouring windows with one anchor."""
     if not len(chosen):
         return chosen, chosen
     text = words.text_of[chosen]
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(chosen) > 1) | (np.diff(text) > 0)]))
+    breaks = (np.diff(chosen) > 1) | (text[1:] != text[:-1]) | (anchors[1:] != anchors[:-1])
+    new = np.flatnonzero(np.concatenate([[True], breaks]))
     return chosen[new], np.diff(np.append(new, len(chosen)))
 
 
@@ -179,7 +181,8 @@ def _scan(window: int, gram: int, shared) -> Callable:
             column = batch.column("text")
             for words in hasher.slices(column):
                 starts, anchors, _ = hasher.anchors(words)
-                first, n = _runs(starts[_estimated_twice(bits, anchors)], words)
+                twice = _estimated_twice(bits, anchors)
+                first, n = _runs(starts[twice], anchors[twice], words)
                 one, two = hasher.both(words, first, first + n + window - 1)
                 text = words.text_of[first]
                 edges = np.searchsorted(text, np.arange(words.n_texts + 1))
