@@ -7,10 +7,9 @@ is the anchor of a window. So a window can only be repeated if its anchor is cou
 * First pass: a count-min sketch of the anchors of each partition; the sketches are merged cell by cell
   and kept as bits saying "twice or more". The sketch has a fixed size. When it fills up it lets more
   windows through; it never holds one back, since it only ever counts too much.
-* Second pass: windows whose anchor is estimated twice are gathered to runs, one per anchor, about eight
-  windows each. Copies and near copies have most runs in common, whatever stands around them. Equal runs
-  are counted first and settle all their windows at once; one of each kind of run is cut into windows,
-  and these are grouped exactly, by 128 bits of hash.
+* Second pass: windows whose anchor is estimated twice are grouped exactly, by 128 bits of hash. A task first
+  groups its own: windows it holds twice are settled there, and of each kind it hands on one, so no window,
+  however common, makes more rows than there are tasks.
 """
 
 from __future__ import annotations
@@ -20,11 +19,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm import words as W
-from orderlake.llm.staging import staged
 from orderlake.operators.joins import join_unique
 
 WINDOW = 35
@@ -34,8 +32,8 @@ GRAM = 16
 DEPTH, CELL_BITS = 2, 26
 #: Cells of a sketch are merged in blocks of so many bits, each by one task.
 BLOCK_BITS = 20
-#: Anchors held before a partition hands out what it has counted.
-HELD_ANCHORS = 1 << 22
+#: Anchors, and candidate windows, held before a task hands on what it has counted.
+HELD_ANCHORS, HELD_WINDOWS = 1 << 22, 1 << 20
 
 DOC = ["doc_id", "digest"]
 
@@ -155,88 +153,61 @@ def _estimated_twice(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-_RUNS = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("f1", pa.int64()), ("f2", pa.int64())]))
-_SCANNED = (
-    "doc_id bigint, digest bigint, n_words bigint, kept_sha256 string, text string, "
-    "runs array<struct<start: int, n: int, f1: bigint, f2: bigint>>"
-)
+_WINDOWS = "w1 bigint, w2 bigint, doc_id bigint, digest int, start int, n int, times int"
 
 
-def _runs(chosen: np.ndarray, anchors: np.ndarray, words: W.Words) -> tuple[np.ndarray, np.ndarray]:
-    """First window and number of windows of runs of neighbouring windows with one anchor."""
-    if not len(chosen):
-        return chosen, chosen
-    text = words.text_of[chosen]
-    breaks = (np.diff(chosen) > 1) | (text[1:] != text[:-1]) | (anchors[1:] != anchors[:-1])
-    new = np.flatnonzero(np.concatenate([[True], breaks]))
-    return chosen[new], np.diff(np.append(new, len(chosen)))
+def _ranges(text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ranges of neighbouring starts of one text begin in the sorted arrays, and their lengths."""
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(start) != 1) | (np.diff(text) != 0)]))
+    return new, np.diff(np.append(new, len(start)))
 
 
-def _scan(window: int, gram: int, shared) -> Callable:
-    """One row per text: its result if it holds no candidate, else its candidate runs and itself."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, bits = _Hasher(window, gram), shared.value
-        for batch in batches:
-            column = batch.column("text")
-            for words in hasher.slices(column):
-                starts, anchors, _ = hasher.anchors(words)
-                twice = _estimated_twice(bits, anchors)
-                first, n = _runs(starts[twice], anchors[twice], words)
-                one, two = hasher.both(words, first, first + n + window - 1)
-                text = words.text_of[first]
-                edges = np.searchsorted(text, np.arange(words.n_texts + 1))
-                none = edges[1:] == edges[:-1]
-                borders = words.borders
-                digests = [
-                    hashlib.sha256(words.joined(np.arange(borders[i], borders[i + 1]))).hexdigest() if none[i] else None
-                    for i in range(words.n_texts)
-                ]
-                inner = pa.StructArray.from_arrays(
-                    [pa.array((first - borders[text]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(one), pa.array(two)],
-                    fields=list(_RUNS.value_type),
-                )
-                piece = slice(words.first, words.first + words.n_texts)
-                texts = column.slice(words.first, words.n_texts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id")[piece],
-                        batch.column("digest")[piece],
-                        pa.array(np.diff(borders)),
-                        pa.array(digests, pa.string()),
-                        texts.take(pa.array(np.arange(words.n_texts), mask=none)),
-                        pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), inner),
-                    ],
-                    ["doc_id", "digest", "n_words", "kept_sha256", "text", "runs"],
-                )
-
-    return run
-
+def _grouped(held: list[tuple], ids: list[pa.Array], digests: list[pa.Array]) -> pa.RecordBatch:
+    """One row per kind of window held, with two for its times if it occurs more than once, and rows with
+    hashes of their own for the ranges its other occurrences make up."""
+    one, two, text, start = (np.concatenate(part) for part in zip(*held))
+    order = np.argsort(one, kind="stable")
+    same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+    again = np.concatenate([[False], same])
+    times = np.where(np.append(same, False), 2, 1)[~again]
+    kept, rest = order[~again], np.sort(order[again])
+    new, n = _ranges(text[rest], start[rest]) if len(rest) else (rest, rest)
+    first = rest[new]
+    own = W.mix(one[first].view(np.uint64) ^ W.mix(text[first].astype(np.uint64) << np.uint64(32) | start[first].astype(np.uint64)))
+    rows = np.concatenate([kept, first])
+    place = pa.array(text[rows])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([one[kept], own.view(np.int64)])),
+            pa.array(two[rows]),
+            pa.concat_arrays(ids).take(place),
+            pa.concat_arrays(digests).take(place),
+            pa.array(start[rows].astype(np.int32)),
+            pa.array(np.concatenate([np.ones(len(kept)), n]).astype(np.int32)),
+            pa.array(np.concatenate([times, np.full(len(first), 2)]).astype(np.int32)),
+        ],
+        ["w1", "w2", "doc_id", "digest", "start", "n", "times"],
+    )
 
-def _cut(window: int, gram: int) -> Callable:
-    """The windows of the runs listed for each text."""
 
+def _candidates(window: int, gram: int, shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = _Hasher(window, gram)
+        hasher, bits = _Hasher(window, gram), shared.value
+        held, ids, digests, n_held, n_texts = [], [], [], 0, 0
         for batch in batches:
-            ids, digests = batch.column("doc_id"), batch.column("digest")
-            listed = batch.column("listed").to_pylist()
             for words in hasher.slices(batch.column("text")):
-                at, text, many = [], [], []
-                for i in range(words.n_texts):
-                    for r in listed[words.first + i]:
-                        at.append(np.arange(r["start"], r["start"] + r["n"]) + words.borders[i])
-                        text.append(np.full(r["n"], i))
-                        many.append(np.full(r["n"], r["many"]))
-                if not at:
-                    continue
-                at, text, many = np.concatenate(at), np.concatenate(text), np.concatenate(many)
-                one, two = hasher.both(words, at, at + window)
-                place = pa.array(text + words.first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one), pa.array(two), ids.take(place), digests.take(place), pa.array((at - words.borders[text]).astype(np.int32)), pa.array(many)],
-                    ["w1", "w2", "doc_id", "digest", "start", "many"],
-                )
+                starts, anchors, _ = hasher.anchors(words)
+                starts = starts[_estimated_twice(bits, anchors)]
+                text = words.text_of[starts]
+                held.append((*hasher.both(words, starts, starts + window), text + n_texts, starts - words.borders[text]))
+                ids.append(batch.column("doc_id").slice(words.first, words.n_texts))
+                digests.append(batch.column("digest").slice(words.first, words.n_texts))
+                n_held, n_texts = n_held + len(starts), n_texts + words.n_texts
+                if n_held >= HELD_WINDOWS:
+                    yield _grouped(held, ids, digests)
+                    held, ids, digests, n_held, n_texts = [], [], [], 0, 0
+        if n_held:
+            yield _grouped(held, ids, digests)
 
     return run
 
@@ -263,7 +234,7 @@ def _finish(window: int) -> Callable:
                     digests.append(hashlib.sha256(kept).hexdigest())
                 piece = slice(words.first, words.first + words.n_texts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[piece], batch.column("n_words")[piece], pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
+                    [batch.column("doc_id")[piece], pa.array(np.diff(words.borders)), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
                     ["doc_id", "n_words", "n_removed", "kept_sha256"],
                 )
 
@@ -283,37 +254,11 @@ def remove_repeats(
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(repeated_cells(plain.select("text"), window, gram))
-    keyed = plain.withColumn("digest", F.xxhash64("doc_id", "text"))
-    scanned = staged(keyed.mapInArrow(_scan(window, gram, shared), _SCANNED), "scanned")
-    candidates = scanned.filter(F.col("text").isNotNull())
-
-    runs = candidates.select(*DOC, F.inline("runs"))
-    kinds = runs.groupBy("f1", "f2").agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "digest", "start", "n")).alias("one")
-    )
-    listed = (
-        kinds.select("one.*", (F.col("times") > 1).alias("many"))
-        .groupBy(*DOC)
-        .agg(F.collect_list(F.struct("start", "n", "many")).alias("listed"))
-    )
-    windows = join_unique(candidates.select(*DOC, "text"), listed, DOC, "inner", null_safe=True).mapInArrow(
-        _cut(window, gram), "w1 bigint, w2 bigint, doc_id bigint, digest bigint, start int, many boolean"
-    )
-    windows = staged(windows, "windows")
-    times = F.sum(F.when(F.col("many"), 2).otherwise(1))
-    repeated = windows.groupBy("w1", "w2").agg(times.alias("times")).filter("times > 1").select("w1", "w2")
-    # runs that occur twice are repeated as a whole; the others window by window
-    single = join_unique(windows.filter(~F.col("many")), repeated, ["w1", "w2"], "left_semi")
-    copied = join_unique(runs, kinds.filter("times > 1").select("f1", "f2"), ["f1", "f2"], "left_semi")
-    ranges = (
-        single.select(*DOC, "start", F.lit(1).alias("n"))
-        .union(copied.select(*DOC, "start", "n"))
-        .groupBy(*DOC)
-        .agg(F.collect_set(F.struct("start", "n")).alias("ranges"))
-    )
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    cut = join_unique(candidates.select(*DOC, "n_words", "text"), ranges, DOC, "left", null_safe=True)
-    untouched = scanned.filter(F.col("text").isNull())
-    return untouched.select("doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256").union(
-        cut.select("doc_id", "n_words", "text", "ranges").mapInArrow(_finish(window), schema)
+    keyed = plain.withColumn("digest", F.hash("doc_id", "text"))
+    candidates = keyed.mapInArrow(_candidates(window, gram, shared), _WINDOWS)
+    total = F.sum("times").over(Window.partitionBy("w1", "w2"))
+    repeated = candidates.withColumn("times", total).filter("times > 1")
+    ranges = repeated.groupBy(*DOC).agg(F.collect_set(F.struct("start", "n")).alias("ranges"))
+    return join_unique(keyed, ranges, DOC, "left", null_safe=True).select("doc_id", "text", "ranges").mapInArrow(
+        _finish(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     )
