@@ -7,9 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontaminate, substrings
+from orderlake.llm import decontaminate, secrets, sharding, substrings, urls
 from orderlake.llm.staging import ship
 
+SHARDS = 40
+# The rules pages are judged by.
+URL_RULES = (
+    urls.Rule(urls.ALLOW, "com", "/"),
+    urls.Rule(urls.BLOCK, "example.com", "/en/"),
+    urls.Rule(urls.ALLOW, "www.example.com", "/en/"),
+    urls.Rule(urls.BLOCK, "net", "/es/"),
+    urls.Rule(urls.BLOCK, "net", "/fr/"),
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -31,6 +41,18 @@ def _span_words(spans: str) -> Column:
     return F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
 
 
+@query
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, folder, "documents"))
+
+    def count(rank: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("bigint")
+
+    counts = [count(rank).alias(f"n_{rule.kind}") for rank, rule in enumerate(secrets.RULES)]
+    text = secrets.span_text(F.col("spans"))
+    return found.select("doc_id", *counts, F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
+
+
 @query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_passages(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -49,3 +71,14 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, folder, "documents"))
+
+
+@query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(_table(spark, folder, "documents"), SHARDS)
+
+
+@query
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = urls.judge(_table(spark, folder, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits")

@@ -7,7 +7,7 @@ is the anchor of a window. So a window can only be repeated if its anchor is cou
 * First pass: a count-min sketch of the anchors of each partition; the sketches are merged cell by cell
   and kept as bits saying "twice or more". The sketch has a fixed size. When it fills up it lets more
   windows through; it never holds one back, since it only ever counts too much.
-* Second pass: windows whose anchor is estimated twice are grouped exactly, by 128 bits of hash. A task first
+* Second pass: windows whose anchor is estimated twice are grouped exactly, by 96 bits of hash. A task first
   groups its own: windows it holds twice are settled there, and of each kind it hands on one, so no window,
   however common, makes more rows than there are tasks.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -53,12 +54,13 @@ class _Hasher:
             yield words
 
     def both(self, words: W.Words, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of hash for ranges of words."""
+        """96 bits of hash for ranges of words."""
         if self._other is None:
             self._other = self._two.sums(words.hash ^ W.MIX_1)
         length = (end - start).astype(np.uint64)
         one = W.mix(self._one.ranges(self._sums, start, end) + length)
-        return one.view(np.int64), W.mix(self._two.ranges(self._other, start, end) + length).view(np.int64)
+        two = W.mix(self._two.ranges(self._other, start, end) + length) >> np.uint64(32)
+        return one.view(np.int64), two.astype(np.uint32).view(np.int32)
 
     def anchors(self, words: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The starts of all windows, the anchor of each, and the distinct occurrences of anchors."""
@@ -153,7 +155,7 @@ def _estimated_twice(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-_WINDOWS = "w1 bigint, w2 bigint, doc_id bigint, digest int, start int, n int, times int"
+_WINDOWS = "w1 bigint, w2 int, doc_id bigint, digest int, start int, n int, times int"
 
 
 def _ranges(text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,27 +218,22 @@ def _finish(window: int) -> Callable:
     """Words left of each text once the listed ranges of windows are taken out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = W.Splitter(W.NOT_BLANK, lower=False)
         for batch in batches:
-            ranges = batch.column("ranges")
-            for words in splitter.slices(batch.column("text")):
-                removed, digests = [], []
-                for i in range(words.n_texts):
-                    base, n = words.borders[i], words.borders[i + 1] - words.borders[i]
-                    listed = ranges[words.first + i].as_py() or []
-                    gone = W.covered(
-                        np.array([r["start"] for r in listed], np.int64),
-                        np.array([r["n"] for r in listed], np.int64) + window - 1,
-                        n,
-                    )
-                    kept = words.joined(base + np.flatnonzero(~gone))
-                    removed.append(int(gone.sum()))
-                    digests.append(hashlib.sha256(kept).hexdigest())
-                piece = slice(words.first, words.first + words.n_texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[piece], pa.array(np.diff(words.borders)), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
-                    ["doc_id", "n_words", "n_removed", "kept_sha256"],
-                )
+            n_words, removed, digests = [], [], []
+            for text, listed in zip(batch.column("text").cast(pa.large_binary()), batch.column("ranges")):
+                words = (text.as_py() or b"").split()  # bytes are split at the six ASCII blanks
+                n_gone = 0
+                if listed.is_valid:
+                    packed = listed.values.to_numpy()
+                    gone = W.covered(packed >> 32, (packed & 0xFFFFFFFF) + window - 1, len(words))
+                    words, n_gone = list(compress(words, (~gone).tolist())), int(gone.sum())
+                n_words.append(len(words) + n_gone)
+                removed.append(n_gone)
+                digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
+                ["doc_id", "n_words", "n_removed", "kept_sha256"],
+            )
 
     return run
 
@@ -258,7 +255,8 @@ def remove_repeats(
     candidates = keyed.mapInArrow(_candidates(window, gram, shared), _WINDOWS)
     total = F.sum("times").over(Window.partitionBy("w1", "w2"))
     repeated = candidates.withColumn("times", total).filter("times > 1")
-    ranges = repeated.groupBy(*DOC).agg(F.collect_set(F.struct("start", "n")).alias("ranges"))
+    packed = F.shiftleft(F.col("start").cast("bigint"), 32) + F.col("n")
+    ranges = repeated.groupBy(*DOC).agg(F.collect_set(packed).alias("ranges"))
     return join_unique(keyed, ranges, DOC, "left", null_safe=True).select("doc_id", "text", "ranges").mapInArrow(
         _finish(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     )

@@ -95,17 +95,6 @@ class Words:
     hash: np.ndarray
     text_of: np.ndarray
     borders: np.ndarray
-    data: np.ndarray
-
-    def text(self, word: int) -> bytes:
-        return self.data[self.start[word] : self.end[word]].tobytes()
-
-    def joined(self, chosen: np.ndarray) -> bytes:
-        """The chosen words of one text, joined by single blanks."""
-        blob = self.data.tobytes() if len(chosen) * 64 > len(self.data) else None
-        if blob is None:
-            return b" ".join([self.text(w) for w in chosen])
-        return b" ".join([blob[a:b] for a, b in zip(self.start[chosen].tolist(), self.end[chosen].tolist())])
 
 
 class Splitter:
@@ -150,7 +139,7 @@ class Splitter:
         hashes = mix(self._bytes.ranges(sums, start, end) + (end - start).astype(U64))
         at = np.searchsorted(start, borders)
         text_of = np.repeat(np.arange(len(borders) - 1), np.diff(at))
-        return Words(first, len(borders) - 1, start, end, hashes, text_of, at, raw)
+        return Words(first, len(borders) - 1, start, end, hashes, text_of, at)
 
 
 def whole(words: Words, width: int) -> np.ndarray:

@@ -42,3 +42,23 @@ def repeats(docs, window=35):
             if seen[tuple(own[i : i + window])] > 1:
                 gone.update(range(i, i + window))
         yield doc, len(own), len(gone), sha(" ".join(w for i, w in enumerate(own) if i not in gone))
+
+
+SECRETS = (
+    ("assign", re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 6),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
+    ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
+)
+
+
+def secrets(docs):
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) per (doc_id, text)."""
+    for doc, text in docs:
+        found = [
+            (m.start(), rank, m.end())
+            for rank, (_, pattern, group, least) in enumerate(SECRETS)
+            for m in pattern.finditer(text or "")
+            if len(m[group]) >= least
+        ]
+        spans = ",".join(f"{SECRETS[rank][0]}:{start}:{end}" for start, rank, end in sorted(found))
+        yield doc, *(sum(f[1] == k for f in found) for k in range(3)), sha(spans), spans
