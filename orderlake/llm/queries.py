@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontaminate, secrets, sharding, substrings, urls
+from orderlake.llm import bpe, decontaminate, language, near_dups, secrets, sharding, substrings, token_counts, urls
 from orderlake.llm.staging import ship
 
 SHARDS = 40
+TOKEN_LIMIT = 2048
+VOCABULARY = "word_bpe_49k.json"
 # The rules pages are judged by.
 URL_RULES = (
     urls.Rule(urls.ALLOW, "com", "/"),
@@ -82,3 +85,25 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     judged = urls.judge(_table(spark, folder, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits")
+
+
+@query
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@query
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
+@query
+def op10_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dups.near_duplicates(_table(spark, folder, "documents"), size=2)

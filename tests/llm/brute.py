@@ -62,3 +62,36 @@ def secrets(docs):
         ]
         spans = ",".join(f"{SECRETS[rank][0]}:{start}:{end}" for start, rank, end in sorted(found))
         yield doc, *(sum(f[1] == k for f in found) for k in range(3)), sha(spans), spans
+
+
+def tokens(docs, tokenizer):
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per (doc_id, text)."""
+    for doc, text in docs:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        yield doc, len(ids), sha(" ".join(map(str, ids))), sha(tokenizer.decode(ids, skip_special_tokens=False))
+
+
+def near(docs, size=2, percent=80):
+    """(doc_id, n_shingles, component_id, kept) per (doc_id, text); ids are distinct."""
+    sets = {}
+    for doc, text in docs:
+        own = BLANK.findall((text or "").translate(LOWER))
+        sets[doc] = {tuple(own[i : i + size]) for i in range(max(1, len(own) - size + 1))} if own else set()
+    root = {doc: doc for doc in sets}
+
+    def find(doc):
+        while root[doc] != doc:
+            doc = root[doc]
+        return doc
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if small and 100 * small >= percent * large:
+                common = len(sets[a] & sets[b])
+                if 100 * common >= percent * (small + large - common):
+                    one, two = sorted((find(a), find(b)))
+                    root[two] = one
+    for doc in ids:
+        yield doc, len(sets[doc]), find(doc), find(doc) == doc
