@@ -18,6 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -332,6 +333,34 @@ def find_passages(
     return (parts[0] if len(parts) == 1 else _merged(plain, parts)).drop("digest")
 
 
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window of the benchmark occurs. One shard per Arrow
+    batch, one pass per block of items, no shuffle."""
+    spark = docs.sparkSession
+
+    def without(shared) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            splitter = _splitter()
+            for batch in batches:
+                shard, none = _Shard(shared.value), pa.nulls(batch.num_rows, pa.int64())
+                texts = pa.RecordBatch.from_arrays([none, none, batch.column(text_col)], ["doc_id", "digest", "text"])
+                for words in splitter.slices(texts.column("text")):
+                    shard.add(texts, words)
+                if shard.n_texts:
+                    hit = pa.compute.list_value_length(shard.result().column("spans"))
+                    yield batch.filter(pa.compute.equal(hit, 0))
+
+        return run
+
+    for block in _blocks(benchmark.select(F.col("item_id").cast("bigint"), "text"), block_words):
+        wanted = phrases(block, window)
+        if wanted is not None:
+            docs = docs.mapInArrow(without(spark.sparkContext.broadcast(wanted)), docs.schema)
+    return docs
+
+
 def _merged(plain: DataFrame, parts: list[DataFrame]) -> DataFrame:
     """Bring the results of several blocks of items together by document."""
     key = ["doc_id", "digest"]

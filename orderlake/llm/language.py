@@ -9,13 +9,13 @@ batches of windows inside tasks, over whole texts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -179,36 +179,39 @@ def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _LOWER[flat].reshape(-1, LENGTH), held, owner
 
 
-def _predict(shared) -> Callable:
-    def of_texts(model: ByteCnn | None, texts: list[bytes]) -> np.ndarray:
-        """Mean probabilities per text, each window weighing as much as it holds."""
-        x, held, owner = _windows(texts)
-        total = np.zeros((len(texts), len(model.classes)))
-        for first in range(0, len(x), WINDOWS_AT_ONCE):
-            part = slice(first, first + WINDOWS_AT_ONCE)
-            np.add.at(total, owner[part], model.predict(x[part]) * held[part, None])
-        return total / np.maximum(total.sum(1, keepdims=True), 1e-300)
+def _mean_probabilities(model: ByteCnn, texts: list[bytes]) -> np.ndarray:
+    """Per text, each window weighing as much as it holds."""
+    x, held, owner = _windows(texts)
+    total = np.zeros((len(texts), len(model.classes)))
+    for first in range(0, len(x), WINDOWS_AT_ONCE):
+        part = slice(first, first + WINDOWS_AT_ONCE)
+        np.add.at(total, owner[part], model.predict(x[part]) * held[part, None])
+    return total / np.maximum(total.sum(1, keepdims=True), 1e-300)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, *arrays = shared.value
-        model = ByteCnn(classes, *arrays) if classes else None
-        for whole in batches:
-            for first in range(0, whole.num_rows, WINDOWS_AT_ONCE):
-                batch = whole.slice(first, WINDOWS_AT_ONCE)
-                texts = batch.column("text").to_pylist()
-                lettered = [bool(t and _LETTER.search(t)) for t in texts]
-                names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-                if model:
-                    means = of_texts(model, [t.encode() if ok else b"" for t, ok in zip(texts, lettered)])
-                    ok = np.array(lettered)
-                    names[ok] = np.array(classes, object)[means.argmax(1)[ok]]
-                    scores[ok] = np.clip(means.max(1)[ok], 0, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores)],
-                    ["doc_id", "held_out", "lang_pred", "score"],
-                )
-
-    return run
+
+def _judged(model: ByteCnn | None, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text."""
+    ok = np.array([bool(t and _LETTER.search(t)) for t in texts], bool)
+    names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+    if model and ok.any():
+        means = _mean_probabilities(model, [t.encode() if good else b"" for t, good in zip(texts, ok)])
+        names[ok] = np.array(model.classes, object)[means.argmax(1)[ok]]
+        scores[ok] = np.clip(means.max(1)[ok], 0, 1)
+    return names, scores
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], shared, text_col: str) -> Iterator[tuple]:
+    classes, *arrays = shared.value
+    model = ByteCnn(classes, *arrays) if classes else None
+    for whole in batches:
+        for first in range(0, whole.num_rows, WINDOWS_AT_ONCE):
+            batch = whole.slice(first, WINDOWS_AT_ONCE)
+            yield batch, *_judged(model, batch.column(text_col).to_pylist())
+
+
+def _shared(spark: SparkSession, model: ByteCnn | None):
+    parts = (model.classes, model.tables, model.bias, model.weight, model.shift) if model else (None,)
+    return spark.sparkContext.broadcast(parts)
 
 
 def identify(
@@ -218,7 +221,26 @@ def identify(
     text. ``und`` with score 0 for a null text, one without a letter, and without a model. Repeated rows are
     separate; other columns are not read.
     """
-    parts = (model.classes, model.tables, model.bias, model.weight, model.shift) if model else (None,)
-    shared = docs.sparkSession.sparkContext.broadcast(parts)
+    shared = _shared(docs.sparkSession, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, names, scores in _pieces(batches, shared, "text"):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores)],
+                ["doc_id", "held_out", "lang_pred", "score"],
+            )
+
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), held_out(id_col).alias("held_out"))
-    return plain.mapInArrow(_predict(shared), "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return plain.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: ByteCnn | None, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in a learned language with a score of ``least`` or
+    more. Rows are judged where they are; nothing is joined."""
+    shared = _shared(docs.sparkSession, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, names, scores in _pieces(batches, shared, text_col):
+            yield batch.filter(pa.array((names != UNKNOWN) & (scores >= least)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import bpe, decontaminate, language, near_dups, secrets, sharding, substrings, token_counts, urls
+from orderlake.llm import bpe, decontaminate, language, near_dups, nearest, secrets, sharding, substrings, token_counts, urls
 from orderlake.llm.staging import ship
 
 SHARDS = 40
 TOKEN_LIMIT = 2048
+QUERY_EVERY = 20
 VOCABULARY = "word_bpe_49k.json"
 # The rules pages are judged by.
 URL_RULES = (
@@ -56,6 +57,11 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
 
 
+@query
+def op2_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest_neighbours(_table(spark, folder, "embeddings"), QUERY_EVERY)
+
+
 @query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_passages(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))

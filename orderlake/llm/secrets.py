@@ -97,7 +97,10 @@ def grams_of(query: Query) -> set[str]:
 
 def _with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
+    rest = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text_col])
+    plain = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.col(text_col).isNull().alias("empty"), rest.alias("rest")
+    )
     # equal keys of unequal documents would only add a candidate
     return plain.withColumn("key", F.xxhash64("doc_id", "text"))
 
@@ -185,12 +188,23 @@ def find_secrets(
     end is exclusive. A null text counts as empty and has no spans. Repeated rows are separate; other
     columns are not read.
     """
+    return _scanned(docs, rules, id_col, text_col).select("doc_id", "text", "spans")
+
+
+def _scanned(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str) -> DataFrame:
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     keyed = _with_key(docs, id_col, text_col)
     if any(q is not None for q in queries.values()):
         found = candidates(keyed, queries, _blocks(docs))
         keyed = join_unique(keyed, found, ["key"], "left")
-    return keyed.select("doc_id", "text", _spans(rules, queries).alias("spans"))
+    return keyed.withColumn("spans", _spans(rules, queries))
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows and columns of ``docs``, every span in the text replaced by a mark. Null texts stay null."""
+    found = _scanned(docs, rules, id_col, text_col)
+    text = F.when(~F.col("empty"), redacted(F.col("text"), F.col("spans")))
+    return found.select([text.alias(c) if c == text_col else F.col(f"rest.`{c}`") for c in docs.columns])
 
 
 def span_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
