@@ -1,14 +1,10 @@
-"""Cutting lineage and choosing broadcasts."""
+"""Cutting lineage."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A calendar of 500 years is 183,000 rows; nothing larger is broadcast by hint.
-BROADCAST_ROWS = 200_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -29,15 +25,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and later branches all read the very same rows."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if the frame is counted and found small, else leave the join to Spark."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def spread(df: DataFrame, *keys: str, most: int = 256) -> DataFrame:
-    """Give a table that arrives in fewer pieces than there are cores a piece per core. Large tables
-    come in many pieces and are left as they are."""
-    cores = min(df.sparkSession.sparkContext.defaultParallelism, most)
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

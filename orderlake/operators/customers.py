@@ -15,12 +15,11 @@ from orderlake.functions.lineage import cut_lineage
 from orderlake.operators.joins import join_unique, present
 from orderlake.operators.ranking import tile, tile_starts
 
-# The tier of each spend quintile, lowest first, and of a customer not yet seen; the days
-# without an order after which a customer is gone.
-TIERS = ("Low", "Med", "Med", "Med", "High")
-MEDIUM, NEW = "Med", "New"
+# Tiers of the highest and lowest spend quintile, of all others, and of a customer not yet
+# seen; the number of tiles; the days without an order after which a customer is gone.
+HIGH, LOW, MEDIUM, NEW = "High", "Low", "Med", "New"
+TILES = 5
 CHURN_DAYS = 90
-TILES = len(TIERS)
 
 
 def _known(df: DataFrame) -> DataFrame:
@@ -65,8 +64,7 @@ def customer_quintile(daily: DataFrame, refund_safe: bool = False) -> DataFrame:
 
 def tier(quintile: str = "QUINTILE") -> Column:
     """Tier name of a quintile; the three in the middle, and null, are medium."""
-    names = F.array(*[F.lit(name) for name in TIERS])
-    return F.coalesce(F.get(names, F.col(quintile) - 1), F.lit(MEDIUM))
+    return F.when(F.col(quintile) == TILES, HIGH).when(F.col(quintile) == 1, LOW).otherwise(MEDIUM)
 
 
 def tag_daily(daily: DataFrame, quintiles: DataFrame) -> DataFrame:

@@ -24,10 +24,13 @@ def line_revenue(
     lines: DataFrame, options_per_line: DataFrame, keys: list[str] = LINE_KEY
 ) -> DataFrame:
     """Every line with its option totals and ``LINE_REVENUE``; no options count as zero."""
+    return with_revenue(join_unique(lines, options_per_line, keys, "left"))
+
+
+def with_revenue(lines: DataFrame) -> DataFrame:
+    """``LINE_REVENUE`` of lines that carry their option totals."""
     own = F.col("ITEM_PRICE") * F.col("ITEM_QUANTITY")
-    extra = F.coalesce(F.col("TOTAL_OPTIONS_PRICE"), F.lit(0))
-    joined = join_unique(lines, options_per_line, keys, "left")
-    return joined.withColumn("LINE_REVENUE", own + extra)
+    return lines.withColumn("LINE_REVENUE", own + F.coalesce(F.col("TOTAL_OPTIONS_PRICE"), F.lit(0)))
 
 
 def add_order_date(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.columns import as_timestamp
-from orderlake.operators.joins import distinct_keys, join_unique
+from orderlake.operators.joins import join_unique, present
 from orderlake.schemas import BY_PARENT, BY_WATERMARK, FULL_RELOAD, LOADS, LoadSpec
 
 
@@ -40,7 +40,7 @@ def select_batch(
     if spec.strategy == BY_PARENT:
         parents = read(spec.parent).filter(newer(spec.watermark, lo, hi))
         keys = list(spec.keys)
-        return join_unique(read(table), distinct_keys(parents, keys), keys, "left_semi")
+        return read(table).join(present(parents.select(*keys), keys), keys, "left_semi")
     if spec.strategy == FULL_RELOAD:
         return read(table)
     raise ValueError(f"unknown load strategy {spec.strategy!r} for table {table!r}")

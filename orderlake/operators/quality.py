@@ -21,6 +21,11 @@ def missing(columns: list[str]) -> dict[str, Column]:
     return {f"{c} is NULL": F.isnull(c) for c in columns}
 
 
+def unparsed(types: dict[str, str]) -> dict[str, Column]:
+    """One rule per text column whose value does not fit its type."""
+    return {f"{c} is not {kind}": F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull() for c, kind in types.items()}
+
+
 def rejected(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Rows that break a rule, with the reasons of all broken rules in ``REJECT_REASON``. The rules
     themselves are the filter, so that a scan skips row groups without nulls."""
@@ -42,17 +47,17 @@ def corrupt_items(items: DataFrame, required: list[str] = REQUIRED_ITEM_COLUMNS)
 def valid_options(
     options: DataFrame, lines: DataFrame, keys: list[str] = LINE_KEY
 ) -> DataFrame:
-    """Options whose line is among ``lines``."""
-    return join_unique(options, distinct_keys(lines, keys), keys, "left_semi")
+    """Options whose line is among ``lines``. Both sides of the join are plain shuffles, so a hot line is
+    split without reducing the lines to distinct keys first."""
+    return options.join(present(lines.select(*keys), keys), keys, "left_semi")
 
 
 def orphan_options(
     options: DataFrame, lines: DataFrame, keys: list[str] = LINE_KEY
 ) -> DataFrame:
     """Options whose line is not among ``lines``; a null key counts as no line."""
-    return join_unique(options, distinct_keys(lines, keys), keys, "left_anti").withColumn(
-        REASON, F.lit(ORPHAN_REASON)
-    )
+    known = present(lines.select(*keys), keys)
+    return options.join(known, keys, "left_anti").withColumn(REASON, F.lit(ORPHAN_REASON))
 
 
 def lines_without_options(
@@ -73,21 +78,31 @@ def nonempty(df: DataFrame, column: str, blank_is_empty: bool = False) -> DataFr
     return df.filter(F.col(column).isNotNull() & (value != ""))
 
 
-def conservation(splits: dict[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
-    """Per table the rows in, kept and set aside, from ``{table: (input, valid, rejected)}``."""
-    roles = ("n_in", "n_valid", "n_rejected")
+def conservation(splits: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Per table the rows in, kept and set aside, from ``{table: (input, judged)}``, where ``judged`` has
+    each row once with a flag ``VALID``."""
     tagged = [
-        part.select(F.lit(table).alias("TABLE_NAME"), F.lit(role).alias("ROLE"))
-        for table, parts in splits.items()
-        for role, part in zip(roles, parts)
+        part.select(F.lit(table).alias("TABLE_NAME"), valid.alias("VALID"))
+        for table, (rows, judged) in splits.items()
+        for part, valid in ((rows, F.lit(None).cast("boolean")), (judged, F.col("VALID")))
     ]
     return (
         reduce(DataFrame.unionByName, tagged)
         .groupBy("TABLE_NAME")
-        .agg(*[F.count_if(F.col("ROLE") == role).alias(role) for role in roles])
+        .agg(
+            F.count_if(F.col("VALID").isNull()).alias("n_in"),
+            F.count_if(F.col("VALID")).alias("n_valid"),
+            F.count_if(~F.col("VALID")).alias("n_rejected"),
+        )
     )
 
 
+def judged_options(options: DataFrame, lines: DataFrame, keys: list[str] = LINE_KEY) -> DataFrame:
+    """Every option once, with a flag ``VALID`` that says whether its line is among ``lines``."""
+    known = distinct_keys(lines, keys).withColumn("_known", F.lit(True))
+    return join_unique(options, known, keys, "left").select(*keys, F.col("_known").isNotNull().alias("VALID"))
+
+
 def unparsed_dates(calendar: DataFrame) -> DataFrame:
     """Calendar rows whose key fits no known spelling."""
     return calendar.filter(F.col("DATE").isNull())

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.columns import as_date, per_order
-from orderlake.functions.lineage import small
 from orderlake.operators.joins import join_unique
 from orderlake.operators.ranking import rank_desc
 
@@ -64,7 +63,7 @@ def order_revenue(lines: DataFrame) -> DataFrame:
 
 def join_calendar(df: DataFrame, calendar: DataFrame, how: str = "inner") -> DataFrame:
     """Attach the calendar's columns by order day. ``inner`` drops days the calendar lacks."""
-    return df.join(small(calendar), F.col("ORDER_DATE") == F.col("DATE"), how).drop("DATE")
+    return df.join(calendar, F.col("ORDER_DATE") == F.col("DATE"), how).drop("DATE")
 
 
 def missing_days(lines: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.columns import as_date
-from orderlake.functions.lineage import cut_lineage
 from orderlake.operators import customers, enrich, incremental, quality, sales
+from orderlake.operators.joins import join_unique
 from orderlake.schemas import LINE_KEY, LOADS, REQUIRED_ITEM_COLUMNS
 from orderlake.sources.lake import Batch, Lake
 from orderlake.sources.sinks import DAY_PARTS, replace_partitions, replace_table
@@ -36,122 +36,154 @@ def ingest(source: Source, lake: Lake, load_date: str | dt.date, run_id: str = "
     return batch
 
 
-def replay(source: Source, lake: Lake, batch_id: int) -> Batch:
-    """Read a committed batch again with its own bounds, in place. Silver is to be rebuilt after."""
+def replay(source: Source, lake: Lake, batch_id: int, run_id: str = "replay") -> Batch:
+    """Read a committed batch again with its own bounds, as its next generation. Readers see the old one
+    until the new one is committed; silver takes it in with its next run."""
     (batch,) = lake.batches({batch_id})
-    return _write(source, lake, Batch(batch_id, batch.load_date, batch.lo, batch.hi, {}))
+    again = _write(source, lake, lake.next_generation(batch))
+    lake.commit_batch(again, run_id)
+    return again
 
 
 def _write(source: Source, lake: Lake, batch: Batch) -> Batch:
     for table in LOADS:
-        rows = source.batch(table, batch.lo, batch.hi)
-        batch.rows[table] = lake.write_batch(rows, table, batch.load_date, batch.batch_id)
+        batch.rows[table] = lake.write_batch(source.batch(table, batch.lo, batch.hi), table, batch)
     return batch
 
 
 def silver(
-    lake: Lake,
-    batch_ids: set[int] | None = None,
-    required: list[str] = REQUIRED_ITEM_COLUMNS,
-    lookback_days: int | None = None,
+    lake: Lake, batch_ids: set[int] | None = None, required: list[str] = REQUIRED_ITEM_COLUMNS
 ) -> list[dt.date | None]:
-    """Bring silver up to the committed batches, or redo the given ones; returns the days rebuilt.
+    """Take new batches into silver, or redo the given ones; returns the days rebuilt.
 
-    A day can be spread over several loads, and a line can be sent again, even for another day. So
-    every day with a line in these batches, or with an earlier version of one, is rebuilt from all
-    batches: the newest batch wins per line, and per line's group of options. ``lookback_days`` limits
-    this to batches loaded so many days before the oldest of the given ones, which is exact if older
-    loads share no day and no line with them.
+    Touched are the lines of these batches and the lines of their options. Of each the newest version and
+    the newest group of options count; a load that read both tables also says that a line has no options.
+    The days such lines are or were on, the day of lines without a time among them, are written anew: the
+    published rows of other lines, and the touched ones.
+
+    New batches are merged with published silver and read no earlier batch. Redone and replayed batches may
+    bring an earlier version back, so their lines are made from all batches. Options without a line stay
+    open: every run judges them again.
     """
     if "LINEITEM_ID" not in required:
         raise ValueError("LINEITEM_ID identifies a line and has to be required")
     new = lake.batches(batch_ids) if batch_ids else lake.new_batches()
     if not new:
         return []
-    considered = lake.batches()
-    if lookback_days is not None:
-        oldest = min(b.load_date for b in new) - dt.timedelta(days=lookback_days)
-        considered = [b for b in considered if b.load_date >= oldest]
-
-    with_calendar = [b for b in lake.batches() if "date_dim" in b.rows]
-    date_dim = lake.read_batches("date_dim", with_calendar[-1:]).drop("load_date", "batch_id")
+    calendar_batch = lake.newest_with("date_dim")
+    date_dim = lake.read_batches("date_dim", [calendar_batch] if calendar_batch else []).drop("load_date", "batch_id")
     calendar = enrich.parse_calendar(date_dim)
     quality.require_parsed_dates(calendar)
 
-    ids = [b.batch_id for b in new]
-    new_items = lake.read_batches("order_items", new)
-    lines = quality.valid_items(lake.read_batches("order_items", considered), required)
-    options = lake.read_batches("order_item_options", considered)
-
-    lake.write_rejects(quality.corrupt_items(new_items, required), "order_items", ids)
-    orphans = quality.orphan_options(lake.read_batches("order_item_options", new), lines)
-    lake.write_rejects(orphans, "order_item_options", ids)
-
-    days = _touched_days(quality.valid_items(new_items, required), lines)
-    current = incremental.newest_per_key(lines, ["LINEITEM_ID"], "batch_id")
-    kept = incremental.newest_per_key(options, LINE_KEY, "batch_id")
-    enriched = enrich.add_order_date(
-        enrich.line_revenue(current.filter(_on_days(days)), enrich.roll_up_options(kept))
-    ).drop("batch_id")
-    _publish_days(enriched, lake.zone("prod", "order_items_enriched"), days)
-    replace_table(calendar, lake.zone("prod", "date_dim"))
-    lake.commit("silver", [(i,) for i in ids])
-    return days
-
-
-def _order_date():
-    return F.to_date("CREATION_TIME_UTC")
-
-
-def _touched_days(new_lines: DataFrame, lines: DataFrame) -> list[dt.date | None]:
-    """Days of the new lines and of all versions of them; as many as the calendar has at most."""
-    versions = quality.valid_options(lines, new_lines, ["LINEITEM_ID"])
-    days = versions.select(_order_date().alias("day")).distinct().collect()
-    return sorted((row.day for row in days), key=lambda d: (d is None, d))
+    run = lake.silver_run() + 1
+    published = lake.silver("order_items_enriched") if run > 1 else None
+    taken = {row.batch_id for row in lake.ledger("silver").filter(~F.col("is_day")).select("batch_id").distinct().collect()} if run > 1 else set()
+    in_order = all(b.generation == 1 and b.batch_id not in taken for b in new) and (not taken or max(taken) < new[0].batch_id)
+
+    lines = quality.valid_items(lake.read_batches("order_items", new), required)
+    corrupt = quality.corrupt_items(lake.read_batches("order_items", new), required)
+    options = lake.read_batches("order_item_options", new)
+    deciding = [b.batch_id for b in (new if in_order else lake.batches()) if b.decides_options]
+    if in_order:
+        pending = options if published is None else options.unionByName(lake.rejects("order_item_options").drop(quality.REASON))
+        fresh, orphans = _merged(published, lines, pending, deciding)
+        touched = _keys(lines, pending)
+    else:
+        ids = [b.batch_id for b in new]
+        touched = _keys(lake.read_generations("order_items", ids), lake.read_generations("order_item_options", ids))
+        every = quality.valid_items(lake.read_batches("order_items"), required)
+        fresh, _ = _merged(None, _of(every, touched), _of(lake.read_batches("order_item_options"), touched), deciding)
+        orphans = quality.orphan_options(lake.read_batches("order_item_options"), every)
+
+    replace_table(corrupt.drop("load_date"), lake.zone("rejects", "order_items", f"run={run}"))
+    replace_table(orphans, lake.zone("rejects", "order_item_options", f"run={run}"))
+    replace_table(calendar, lake.zone("prod", "date_dim", f"run={run}"))
+    # the touched lines are few, and three readers need them
+    replace_table(fresh, lake.zone("staging", f"run={run}", "fresh"))
+    replace_table(touched, lake.zone("staging", f"run={run}", "touched"))
+    fresh, touched = (lake.spark.read.parquet(lake.zone("staging", f"run={run}", t)) for t in ("fresh", "touched"))
+    days = fresh.select("ORDER_DATE")
+    if published is not None:
+        days = days.union(_of(published.select("LINEITEM_ID", "ORDER_DATE"), touched).select("ORDER_DATE"))
+    rebuilt = sorted((row.ORDER_DATE for row in days.distinct().collect()), key=lambda d: (d is None, d))
+    if published is not None:
+        rest = published.filter(_on_days(rebuilt)).join(touched, "LINEITEM_ID", "left_anti")
+        fresh = rest.unionByName(fresh)
+    replace_partitions(fresh, lake.zone("prod", "order_items_enriched", f"run={run}"))
+    lake.commit("silver", [(run, b.batch_id, b.generation, False, None) for b in new] + [(run, None, None, True, d) for d in rebuilt])
+    return rebuilt
+
+
+def _keys(lines: DataFrame, options: DataFrame) -> DataFrame:
+    """The lines touched by rows of either table."""
+    both = lines.select("LINEITEM_ID").union(options.select("LINEITEM_ID"))
+    return both.filter(F.col("LINEITEM_ID").isNotNull()).distinct()
+
+
+def _of(rows: DataFrame, touched: DataFrame) -> DataFrame:
+    return rows.join(touched, "LINEITEM_ID", "left_semi")
+
+
+def _merged(
+    published: DataFrame | None, lines: DataFrame, options: DataFrame, deciding: list[int]
+) -> tuple[DataFrame, DataFrame]:
+    """Touched lines with their totals, and the options no line takes.
+
+    A line's options are the newest group given for it, unless the line came later with a load that read
+    options as well. Without either it keeps what silver has.
+    """
+    current = incremental.newest_per_key(lines, ["LINEITEM_ID"], "batch_id").drop("load_date")
+    groups = incremental.newest_per_key(options, LINE_KEY, "batch_id")
+    totals = enrich.roll_up_options(groups, [*LINE_KEY, "batch_id"]).withColumnRenamed("batch_id", "_given")
+    said = F.max(F.when(F.col("batch_id").isin(deciding), F.col("batch_id"))).alias("_decided")
+    decided = lines.groupBy("LINEITEM_ID").agg(said)
+    kept = {"TOTAL_OPTIONS_PRICE": "_kept_price", "NUM_OPTIONS": "_kept_number"}
+    known = lines.select(*LINE_KEY)
+    if published is not None:
+        before = published.select("LINEITEM_ID", *[F.col(c).alias(k) for c, k in kept.items()]).dropDuplicates(["LINEITEM_ID"])
+        current = join_unique(current, before, ["LINEITEM_ID"], "left")
+        # lines that only get options are taken from silver
+        moved = options.select("LINEITEM_ID").filter(F.col("LINEITEM_ID").isNotNull()).distinct()
+        old = _of(published, moved).join(lines.select("LINEITEM_ID").distinct(), "LINEITEM_ID", "left_anti")
+        old = old.withColumnsRenamed(kept).drop("LINE_REVENUE", "ORDER_DATE", *DAY_PARTS).withColumn("batch_id", F.lit(None).cast("bigint"))
+        current = current.unionByName(old)
+        known = known.union(published.select(*LINE_KEY))
+    else:
+        current = current.withColumn("_kept_price", F.lit(None).cast("decimal(31,2)")).withColumn("_kept_number", F.lit(None).cast("bigint"))
+    joined = join_unique(join_unique(current, totals, LINE_KEY, "left"), decided, ["LINEITEM_ID"], "left")
+    given = F.col("_given").isNotNull() & (F.col("_decided").isNull() | (F.col("_given") >= F.col("_decided")))
+    keep = F.col("_decided").isNull() & F.col("_given").isNull()
+    chosen = {c: F.when(given, F.col(c)).when(keep, F.col(k)) for c, k in kept.items()}
+    own = joined.withColumns(chosen).drop("_given", "_decided", "batch_id", *kept.values())
+    orphans = quality.orphan_options(options, known)
+    return enrich.add_order_date(enrich.with_revenue(own)), orphans
 
 
 def _on_days(days: list[dt.date | None]):
+    """Rows of the given days, the day of rows without a time among them; partitions are pruned by it."""
     known = [d for d in days if d is not None]
-    chosen = _order_date().isin(known)
-    if known:
-        # a range on the stored column as well, by which the scan skips row groups
-        first = incremental.as_timestamp(dt.datetime.combine(min(known), dt.time()))
-        end = incremental.as_timestamp(dt.datetime.combine(max(known), dt.time()))
-        created = F.col("CREATION_TIME_UTC")
-        chosen = chosen & (created >= F.lit(first)) & (
-            created < F.lit(end + dt.timedelta(days=1))
-        )
-    return chosen | F.col("CREATION_TIME_UTC").isNull() if None in days else chosen
-
-
-def _publish_days(enriched: DataFrame, path: str, days: list[dt.date | None]) -> None:
-    """Overwrite the given days. A day that lost all its lines gets an empty file, since a dynamic
-    overwrite leaves partitions alone that have no rows."""
-    written = Observation()
-    observed = enriched.observe(written, F.collect_set("ORDER_DATE").alias("days"))
-    replace_partitions(observed, path)
-    emptied = {d for d in days if d is not None} - set(written.get["days"] or [])
-    nothing = enriched.drop(*DAY_PARTS).limit(0)
-    for day in sorted(emptied):
-        folder = f"{path}/year={day.year}/month={day.month}/day={day.day}"
-        nothing.write.mode("overwrite").parquet(folder)
+    parts = F.col("year").isin(sorted({d.year for d in known})) & F.col("ORDER_DATE").isin(known)
+    return parts | F.col("ORDER_DATE").isNull() if None in days else parts
 
 
 def gold(lake: Lake, reference_date: str | dt.date, churn_days: int = customers.CHURN_DAYS) -> int:
     """Publish the report tables as one new version, visible once all of them are written.
 
-    All four are built from order slices, so the lines are read and shuffled once.
+    All four are built from order slices, written once to the lake, so the lines are read and shuffled once
+    and each report reads the columns it needs.
     """
     day = as_date(reference_date)
     lines = lake.silver("order_items_enriched")
-    slices = cut_lineage(sales.order_slices(lines, "USER_ID", "RESTAURANT_ID", "ORDER_DATE"))
+    version = lake.report_version() + 1
+    staged = lake.zone("staging", f"version={version}", "slices")
+    replace_table(sales.order_slices(lines, "USER_ID", "RESTAURANT_ID", "ORDER_DATE"), staged)
+    slices = lake.spark.read.parquet(staged)
     tables = {
         "clv": customers.customer_value(slices),
         "rfm": customers.flag_churn(customers.rfm(slices, day), churn_days),
         "daily_sales": sales.daily_sales(slices),
         "location_perf": sales.location_performance(slices),
     }
-    version = lake.report_version() + 1
     for name, table in tables.items():
         replace_table(table, lake.zone("reporting", f"version={version}", name))
     lake.commit("reports", [(version, day)])

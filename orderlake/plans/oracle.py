@@ -164,7 +164,17 @@ _QUERIES = {
     "corrupt_options": """SELECT ORDER_ID, LINEITEM_ID, OPTION_NAME, CASE WHEN OPTION_PRICE IS NOT NULL
           THEN 'OPTION_QUANTITY is NULL' WHEN OPTION_QUANTITY IS NOT NULL THEN 'OPTION_PRICE is NULL'
           ELSE 'OPTION_PRICE is NULL, OPTION_QUANTITY is NULL' END AS REJECT_REASON
-        FROM order_item_options WHERE OPTION_PRICE IS NULL OR OPTION_QUANTITY IS NULL""",
+        FROM (SELECT * REPLACE (
+            CASE WHEN k % 23 = 0 THEN NULL WHEN k % 29 = 0 THEN -OPTION_PRICE ELSE OPTION_PRICE END AS OPTION_PRICE,
+            CASE WHEN k % 31 = 0 THEN NULL ELSE OPTION_QUANTITY END AS OPTION_QUANTITY)
+          FROM (SELECT *, CAST(substr(ORDER_ID, 2) AS BIGINT) AS k FROM order_item_options) x) y
+        WHERE OPTION_PRICE IS NULL OR OPTION_QUANTITY IS NULL""",
+    "unparsed_values": """SELECT ORDER_ID, LINEITEM_ID, concat_ws(', ',
+            CASE WHEN k % 13 = 0 THEN 'ITEM_PRICE is not decimal(10,2)' END,
+            CASE WHEN k % 17 = 0 THEN 'ITEM_QUANTITY is not int' END,
+            CASE WHEN k % 19 = 0 THEN 'CREATION_TIME_UTC is not timestamp' END) AS REJECT_REASON
+        FROM (SELECT *, CAST(substr(ORDER_ID, 2) AS BIGINT) AS k FROM order_items) x
+        WHERE k % 13 = 0 OR k % 17 = 0 OR k % 19 = 0""",
     "nonempty_keys": "SELECT ORDER_ID, LINEITEM_ID FROM order_items WHERE LINEITEM_ID <> ''",
     "typed_projection": """
         SELECT ORDER_ID, LINEITEM_ID, TRY_CAST(price AS DECIMAL(10,2)) AS ITEM_PRICE,
@@ -269,9 +279,13 @@ _QUERIES = {
         FROM silver GROUP BY CUBE (IS_LOYALTY, RESTAURANT_ID, APP_NAME)""",
     "discounts": f"""SELECT count(*) AS NUM_DISCOUNTS,
           {_money('coalesce(sum(OPTION_PRICE * OPTION_QUANTITY), 0)', 'TOTAL_DISCOUNT')}
-        FROM order_item_options WHERE OPTION_PRICE < 0""",
+        FROM (SELECT * REPLACE (
+            CASE WHEN k % 23 = 0 THEN NULL WHEN k % 29 = 0 THEN -OPTION_PRICE ELSE OPTION_PRICE END AS OPTION_PRICE,
+            CASE WHEN k % 31 = 0 THEN NULL ELSE OPTION_QUANTITY END AS OPTION_QUANTITY)
+          FROM (SELECT *, CAST(substr(ORDER_ID, 2) AS BIGINT) AS k FROM order_item_options) x) y WHERE OPTION_PRICE < 0""",
     "missing_calendar_days": """SELECT ORDER_DATE, count(*) AS NUM_LINE_ITEMS FROM silver
-        WHERE NOT EXISTS (SELECT 1 FROM calendar d WHERE d."DATE" = ORDER_DATE) GROUP BY ORDER_DATE""",
+        WHERE NOT EXISTS (SELECT 1 FROM calendar d WHERE d."DATE" = ORDER_DATE AND d."DATE" < DATE '2001-07-01')
+        GROUP BY ORDER_DATE""",
 }
 
 

@@ -21,6 +21,7 @@ SCAN_DAY = dt.date(2000, 4, 4)
 AS_OF, AS_OF_LATER = "1998-06-30", "2000-06-30"
 MONTH_ENDS = ("2000-03-31", "2000-06-30", "2000-09-30", "2000-12-31")
 ORDER_ID = "O1"
+CALENDAR_END = dt.date(2001, 7, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -146,17 +147,9 @@ def orphan_options(t: Tables) -> DataFrame:
 
 @query
 def quarantine_conservation(t: Tables) -> DataFrame:
-    items, options, valid = t.items, t.options, t.valid
-    return quality.conservation(
-        {
-            "order_items": (items, valid, quality.corrupt_items(items)),
-            "order_item_options": (
-                options,
-                quality.valid_options(options, valid),
-                quality.orphan_options(options, valid),
-            ),
-        }
-    )
+    items = t.items.withColumn("VALID", F.col("LINEITEM_ID").isNotNull())
+    options = quality.judged_options(t.options, t.valid)
+    return quality.conservation({"order_items": (t.items, items), "order_item_options": (t.options, options)})
 
 
 @query
@@ -164,9 +157,21 @@ def lines_without_options(t: Tables) -> DataFrame:
     return quality.lines_without_options(t.valid, t.options).select(*LINE_KEY)
 
 
+def _with_gaps(options: DataFrame) -> DataFrame:
+    """Options of which some lack a price, some a quantity, and some have a negative price."""
+    order = F.regexp_extract("ORDER_ID", r"\d+", 0).cast("bigint")
+    price = F.when(order % 23 == 0, F.lit(None)).when(order % 29 == 0, -F.col("OPTION_PRICE")).otherwise(F.col("OPTION_PRICE"))
+    return options.withColumns(
+        {
+            "OPTION_PRICE": price.cast("decimal(10,2)"),
+            "OPTION_QUANTITY": F.when(order % 31 == 0, F.lit(None)).otherwise(F.col("OPTION_QUANTITY")),
+        }
+    )
+
+
 @query
 def corrupt_options(t: Tables) -> DataFrame:
-    return quality.corrupt_options(t.options).select(*LINE_KEY, "OPTION_NAME", quality.REASON)
+    return quality.corrupt_options(_with_gaps(t.options)).select(*LINE_KEY, "OPTION_NAME", quality.REASON)
 
 
 @query
@@ -174,21 +179,28 @@ def nonempty_keys(t: Tables) -> DataFrame:
     return quality.nonempty(t.items, "LINEITEM_ID").select(*LINE_KEY)
 
 
-@query
-def typed_projection(t: Tables) -> DataFrame:
-    # text as a raw file holds it, with some values that do not fit their type
+def _as_text(t: Tables) -> DataFrame:
+    """Lines as a raw file holds them, with some values that do not fit their type."""
     order = F.regexp_extract("ORDER_ID", r"\d+", 0).cast("bigint")
     price, quantity = (F.col(c).cast("string") for c in ("ITEM_PRICE", "ITEM_QUANTITY"))
     created = F.date_format("CREATION_TIME_UTC", "yyyy-MM-dd HH:mm:ss")
-    text = t.items.select(
+    return t.items.select(
         *LINE_KEY,
         F.when(order % 13 == 0, F.concat(F.lit("$"), price)).otherwise(price).alias("ITEM_PRICE"),
         F.when(order % 17 == 0, "").otherwise(quantity).alias("ITEM_QUANTITY"),
         F.when(order % 19 == 0, "unknown").otherwise(created).alias("CREATION_TIME_UTC"),
     )
-    return enrich.typed_items(text).withColumn(
-        "CREATION_TIME_UTC", watermark_text("CREATION_TIME_UTC")
-    )
+
+
+@query
+def typed_projection(t: Tables) -> DataFrame:
+    return enrich.typed_items(_as_text(t)).withColumn("CREATION_TIME_UTC", watermark_text("CREATION_TIME_UTC"))
+
+
+@query
+def unparsed_values(t: Tables) -> DataFrame:
+    types = {"ITEM_PRICE": "decimal(10,2)", "ITEM_QUANTITY": "int", "CREATION_TIME_UTC": "timestamp"}
+    return quality.rejected(_as_text(t), quality.unparsed(types)).select(*LINE_KEY, quality.REASON)
 
 
 @query
@@ -418,9 +430,10 @@ def revenue_cube(t: Tables) -> DataFrame:
 
 @query
 def discounts(t: Tables) -> DataFrame:
-    return sales.discounts(t.options)
+    return sales.discounts(_with_gaps(t.options))
 
 
 @query
 def missing_calendar_days(t: Tables) -> DataFrame:
-    return sales.missing_days(t.silver, t.calendar)
+    # a calendar that ends before the orders do
+    return sales.missing_days(t.silver, t.calendar.filter(F.col("DATE") < F.lit(CALENDAR_END)))

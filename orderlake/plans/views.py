@@ -7,8 +7,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.functions.lineage import spread
-
 # One in so many orders is a guest's, lacks its line key, or has orphaned options.
 GUEST_EVERY, CORRUPT_EVERY, ORPHAN_EVERY = 11, 1009, 997
 HOLIDAYS = {(1, 1): "New Year", (7, 4): "July 4", (12, 25): "Christmas"}
@@ -25,7 +23,7 @@ class Star:
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        return spread(self._open("lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+        return self._open("lineitem")
 
     @cached_property
     def orders(self) -> DataFrame:

@@ -20,6 +20,11 @@ DATE_DIM = (
     "date_key string, year int, month int, week int, day_of_week string, "
     "is_holiday string, is_weekend string, holiday_name string"
 )
+# silver: a line with its option totals, revenue and day
+ENRICHED = (
+    f"{ORDER_ITEMS}, TOTAL_OPTIONS_PRICE decimal(31,2), NUM_OPTIONS bigint, "
+    "LINE_REVENUE decimal(32,2), ORDER_DATE date"
+)
 SCHEMAS = {
     "order_items": ORDER_ITEMS,
     "order_item_options": ORDER_ITEM_OPTIONS,

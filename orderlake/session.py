@@ -33,7 +33,9 @@ def build_session(app: str = "orderlake", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def in_utc(spark: SparkSession) -> SparkSession:
-    """A given session with its time zone set to UTC, which dates and watermarks depend on."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def require_utc(spark: SparkSession) -> SparkSession:
+    """Fail early in a session of another time zone, on which dates and watermarks would depend."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT"):
+        raise ValueError(f"the session's time zone is {zone}; set spark.sql.session.timeZone to UTC")
     return spark

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderlake.functions.columns import as_date
+from orderlake.operators import quality
 from orderlake.schemas import SCHEMAS
 
 
@@ -27,18 +31,44 @@ def _csv(spark: SparkSession):
     return spark.read.options(header=True, multiLine=True, quote='"', escape='"')
 
 
-def read_csv(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
-    """A source table from delimited text with its fixed schema; what does not fit becomes null.
+def _fields(table: str) -> dict[str, str]:
+    return dict(part.split() for part in SCHEMAS[table].split(", "))
+
+
+def read_csv_text(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
+    """A source table from delimited text, columns found by the names in the header, as text.
 
-    A file with line breaks inside values is read by one task, so large exports should be many files.
+    A missing column raises at once, further ones are left out. The files of one read have to share one
+    order of columns: Spark compares every header and fails on another one. A file with line breaks inside
+    values is read by one task, so large exports should be many files.
     """
-    return _csv(spark).schema(SCHEMAS[table]).csv(path)
+    wanted, header = list(_fields(table)), _csv(spark).csv(path).columns
+    if missing := [c for c in wanted if c not in header]:
+        raise ValueError(f"{table} lacks the columns {', '.join(missing)}")
+    schema = StructType([StructField(c, StringType()) for c in header])
+    return _csv(spark).option("enforceSchema", False).schema(schema).csv(path).select(*wanted)
 
 
-def read_csv_text(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
-    """The same columns as text, to be cast later."""
-    columns = [part.split()[0] for part in SCHEMAS[table].split(", ")]
-    return _csv(spark).schema(", ".join(f"{c} string" for c in columns)).csv(path)
+def _typed(table: str) -> dict[str, str]:
+    return {c: kind for c, kind in _fields(table).items() if kind != "string"}
+
+
+def typed(text: DataFrame, table: str) -> DataFrame:
+    """Rows of text whose values all fit the table's types, cast to them."""
+    rules = quality.unparsed(_typed(table))
+    fits = reduce(and_, [~broken for broken in rules.values()], F.lit(True))
+    return text.filter(fits).withColumns({c: F.col(c).try_cast(kind) for c, kind in _typed(table).items()})
+
+
+def unparsed(text: DataFrame, table: str) -> DataFrame:
+    """Rows of text with a value that does not fit, as text, with the reasons."""
+    return quality.rejected(text, quality.unparsed(_typed(table)))
+
+
+def read_csv(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
+    """The rows of a source table that fit its schema. ``unparsed(read_csv_text(...), table)`` has the rest;
+    the two are all rows of the files."""
+    return typed(read_csv_text(spark, path, table), table)
 
 
 def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -1,29 +1,35 @@
-"""The lake: raw batches, a ledger of what is committed, silver days, versioned reports.
+"""The lake: raw batches, silver days, rejects and reports, all read through ledgers.
 
-Data is written first and a ledger row after it, so a batch exists once its row does. A run that dies
-in between leaves files no reader looks at, and the next run overwrites them or passes them by. One
-writer at a time is assumed.
+Data is written into folders of its own first and one ledger file after it, which appears whole or not at
+all. A reader sees what the ledger names: the newest generation of a batch, the newest run of a day. A run
+that dies in between leaves files no reader looks at.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.schemas import FLOOR_WATERMARK, SCHEMAS
-from orderlake.session import in_utc
+from orderlake.schemas import ENRICHED, FLOOR_WATERMARK, SCHEMAS
+from orderlake.session import require_utc
 
 _LEDGERS = {
-    "batches": "batch_id bigint, table_name string, load_date date, lo string, hi string, "
+    "batches": "batch_id bigint, generation bigint, table_name string, load_date date, lo string, hi string, "
     "n_rows bigint, run_id string, committed_at timestamp",
-    "silver": "batch_id bigint, committed_at timestamp",
+    # per run one row for each batch taken in and one for each day rebuilt
+    "silver": "run bigint, batch_id bigint, generation bigint, is_day boolean, day date, committed_at timestamp",
     "reports": "version bigint, reference_date date, committed_at timestamp",
 }
 
 
+class WriterConflict(RuntimeError):
+    """Another writer has committed what this one was about to."""
+
+
 @dataclass(frozen=True)
 class Batch:
     """One committed load: the range it read and the rows it found per table."""
@@ -33,6 +39,12 @@ class Batch:
     lo: str | None
     hi: str | None
     rows: dict[str, int]
+    generation: int = 1
+
+    @property
+    def decides_options(self) -> bool:
+        """It read lines and options together, so a line without options has none."""
+        return {"order_items", "order_item_options"} <= set(self.rows)
 
     @property
     def advanced(self) -> bool:
@@ -41,26 +53,27 @@ class Batch:
 
 
 class Lake:
-    """Paths and ledgers under one root folder. Watermarks and days are in UTC, and so the session."""
+    """Paths and ledgers under one root folder. Watermarks and days are in UTC, and so must the session be."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = in_utc(spark), root.rstrip("/")
+        self.spark, self.root = require_utc(spark), root.rstrip("/")
 
     def zone(self, *parts: object) -> str:
         return "/".join([self.root, *map(str, parts)])
 
-    # ledgers: one tiny file per commit, a handful of rows each
+    def _read(self, schema: str, *parts: object) -> DataFrame:
+        """A table that may have no file yet."""
+        try:
+            return self.spark.read.schema(schema).parquet(self.zone(*parts))
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
-    def _exists(self, path: str) -> bool:
-        context = self.spark.sparkContext
-        file = context._jvm.org.apache.hadoop.fs.Path(path)
-        return file.getFileSystem(context._jsc.hadoopConfiguration()).exists(file)
+    # ledgers: one tiny file per commit
 
     def ledger(self, name: str) -> DataFrame:
-        schema, path = _LEDGERS[name], self.zone("ops", name)
-        if not self._exists(path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self._read(_LEDGERS[name], "ops", name)
 
     def commit(self, name: str, rows: list[tuple]) -> None:
         """Append ledger rows as one file, which appears whole or not at all."""
@@ -70,6 +83,12 @@ class Lake:
 
     # raw batches
 
+    def committed(self) -> DataFrame:
+        """Ledger rows of the newest generation of every batch."""
+        rows = self.ledger("batches")
+        newest = rows.groupBy("batch_id").agg(F.max("generation").alias("generation"))
+        return rows.join(newest, ["batch_id", "generation"])
+
     def watermark(self) -> str:
         """Upper end of the newest committed load, or the floor before the first."""
         return self.ledger("batches").agg(F.max("hi")).first()[0] or FLOOR_WATERMARK
@@ -79,75 +98,105 @@ class Lake:
 
     def batches(self, only: set[int] | None = None) -> list[Batch]:
         """Committed batches, oldest first: the ledger holds one row per batch and table."""
-        found: dict[int, Batch] = {}
-        for row in self.ledger("batches").orderBy("batch_id", "table_name").collect():
-            if only is None or row.batch_id in only:
-                batch = Batch(row.batch_id, row.load_date, row.lo, row.hi, {})
-                found.setdefault(row.batch_id, batch).rows[row.table_name] = row.n_rows
-        return list(found.values())
-
-    def _raw_path(self, table: str, load_date: dt.date, batch_id: int) -> str:
-        return self.zone("raw", table, f"load_date={load_date}", f"batch_id={batch_id}")
-
-    def write_batch(self, df: DataFrame, table: str, load_date: dt.date, batch_id: int) -> int:
-        """Write one table of a batch into its own folder and return the number of rows, counted
-        while writing. Writing the batch again replaces the folder and nothing else. A value that does
-        not fit its column's type fails the load."""
+        rows = self.committed()
+        return _batches(rows if only is None else rows.filter(F.col("batch_id").isin(list(only))))
+
+    def new_batches(self) -> list[Batch]:
+        """Committed batches, or new generations of them, that silver does not hold yet."""
+        done = self.ledger("silver").filter(~F.col("is_day")).select("batch_id", "generation")
+        return _batches(self.committed().join(done, ["batch_id", "generation"], "left_anti"))
+
+    def newest_with(self, table: str) -> Batch | None:
+        """The newest committed batch that holds a table."""
+        newest = self.committed().filter(F.col("table_name") == table).agg(F.max("batch_id")).first()[0]
+        return None if newest is None else self.batches({newest})[0]
+
+    def _raw_path(self, table: str, batch: Batch) -> str:
+        return self.zone("raw", table, f"load_date={batch.load_date}", f"batch_id={batch.batch_id}", f"generation={batch.generation}")
+
+    def write_batch(self, df: DataFrame, table: str, batch: Batch) -> int:
+        """Write one table of a batch into its own folder and return the number of rows, counted while
+        writing. A value that does not fit its column's type is stored as null."""
         fields = [part.split() for part in SCHEMAS[table].split(", ")]
-        typed = df.select([F.col(name).cast(kind).alias(name) for name, kind in fields])
+        typed = df.select([F.col(name).try_cast(kind).alias(name) for name, kind in fields])
         seen = Observation()
         counted = typed.observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("overwrite").parquet(self._raw_path(table, load_date, batch_id))
+        counted.write.mode("overwrite").parquet(self._raw_path(table, batch))
         return seen.get["n"]
 
     def commit_batch(self, batch: Batch, run_id: str) -> None:
+        """Make a batch visible. A new load has to start where the lake is now, and a batch's generation
+        can be committed once; otherwise somebody else has written meanwhile."""
+        mine = (F.col("batch_id") == batch.batch_id) & (F.col("generation") >= batch.generation)
+        if not self.ledger("batches").filter(mine).isEmpty():
+            raise WriterConflict(f"batch {batch.batch_id} is already committed")
+        if batch.generation == 1 and batch.lo is not None and not (batch.lo == self.watermark() <= batch.hi):
+            raise WriterConflict(f"the watermark is no longer {batch.lo}")
         self.commit(
             "batches",
             [
-                (batch.batch_id, table, batch.load_date, batch.lo, batch.hi, n, run_id)
+                (batch.batch_id, batch.generation, table, batch.load_date, batch.lo, batch.hi, n, run_id)
                 for table, n in batch.rows.items()
             ],
         )
-
-    def read_batches(self, table: str, batches: list[Batch]) -> DataFrame:
-        """The rows of a raw table in the given committed batches, with load date and batch."""
-        schema = f"{SCHEMAS[table]}, load_date date, batch_id bigint"
-        paths = [
-            self._raw_path(table, b.load_date, b.batch_id) for b in batches if table in b.rows
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", self.zone("raw", table))
-        return reader.parquet(*paths)
-
-    # rejects
-
-    def write_rejects(self, df: DataFrame, table: str, batch_ids: list[int]) -> None:
-        """Replace the rejects of the given batches. Each batch's folder is emptied first: a batch
-        whose rows are all accepted now would otherwise keep its old rejects."""
-        path = self.zone("rejects", table)
-        empty = df.drop("batch_id").limit(0)
-        for batch_id in batch_ids:
-            empty.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
-
-    def rejects(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.zone("rejects", table))
-
-    # silver and reports
+        if self.ledger("batches").filter(mine).count() != len(batch.rows):
+            raise WriterConflict(f"batch {batch.batch_id} was committed twice")
+
+    def next_generation(self, batch: Batch) -> Batch:
+        return replace(batch, rows={}, generation=batch.generation + 1)
+
+    def read_batches(self, table: str, batches: list[Batch] | None = None) -> DataFrame:
+        """The rows of a raw table with load date and batch: of the given batches in the generation they
+        name, or of all committed ones."""
+        schema = f"{SCHEMAS[table]}, load_date date, batch_id bigint, generation bigint"
+        rows = self._read(schema, "raw", table)
+        if batches is None:
+            chosen = self.committed().filter(F.col("table_name") == table)
+            keys = ["load_date", "batch_id", "generation"]
+            return rows.join(chosen.select(*keys), keys, "left_semi").drop("generation")
+        wanted = F.lit(False)
+        for b in batches:
+            # the load date as well: a run that died may have used the batch's number on another day
+            folder = (F.col("load_date") == F.lit(b.load_date)) & (F.col("batch_id") == b.batch_id)
+            wanted = wanted | (folder & (F.col("generation") == b.generation))
+        return rows.filter(wanted).drop("generation")
+
+    def read_generations(self, table: str, batch_ids: list[int]) -> DataFrame:
+        """The rows of all generations of the given batches, dead ones included."""
+        schema = f"{SCHEMAS[table]}, load_date date, batch_id bigint, generation bigint"
+        return self._read(schema, "raw", table).filter(F.col("batch_id").isin(batch_ids))
+
+    # silver and rejects
+
+    def silver_run(self) -> int:
+        """Newest committed run of the silver job, 0 if there is none."""
+        return self.ledger("silver").agg(F.max("run")).first()[0] or 0
 
     def silver(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.zone("prod", table))
+        """A silver table as of the newest committed run. Of the order lines, each day comes from the last
+        run that rebuilt it."""
+        run = self.silver_run()
+        if not run:
+            raise LookupError("silver is not published yet")
+        if table != "order_items_enriched":
+            return self.spark.read.parquet(self.zone("prod", table, f"run={run}"))
+        days = self.ledger("silver").filter("is_day").groupBy("day").agg(F.max("run").alias("_run"))
+        rows = self._read(f"{ENRICHED}, run bigint, year int, month int, day int", "prod", table)
+        current = (F.col("run") == F.col("_run")) & F.col("ORDER_DATE").eqNullSafe(F.col("day_"))
+        return rows.join(days.withColumnRenamed("day", "day_"), current).drop("run", "_run", "day_")
 
-    def new_batches(self) -> list[Batch]:
-        """Committed batches that silver does not hold yet."""
-        done = {row.batch_id for row in self.ledger("silver").select("batch_id").collect()}
-        return [b for b in self.batches() if b.batch_id not in done]
+    def rejects(self, table: str) -> DataFrame:
+        """Rows set aside, as of the newest committed run: all options without a line, and of the order
+        lines those of each batch's last run."""
+        run = self.silver_run()
+        if not run:
+            raise LookupError("silver is not published yet")
+        if table == "order_item_options":
+            return self.spark.read.parquet(self.zone("rejects", table, f"run={run}"))
+        taken = self.ledger("silver").filter(~F.col("is_day")).groupBy("batch_id").agg(F.max("run").alias("run"))
+        return self.spark.read.parquet(self.zone("rejects", table)).join(taken, ["batch_id", "run"]).drop("run")
+
+    # reports
 
     def report_version(self) -> int:
         """Newest published version of the reports, 0 if there is none."""
@@ -157,3 +206,11 @@ class Lake:
         """A report table; all tables of one version come from the same run."""
         chosen = version or self.report_version()
         return self.spark.read.parquet(self.zone("reporting", f"version={chosen}", table))
+
+
+def _batches(rows: DataFrame) -> list[Batch]:
+    found: dict[int, Batch] = {}
+    for row in rows.orderBy("batch_id", "table_name").collect():
+        batch = Batch(row.batch_id, row.load_date, row.lo, row.hi, {}, row.generation)
+        found.setdefault(row.batch_id, batch).rows[row.table_name] = row.n_rows
+    return list(found.values())

@@ -37,8 +37,9 @@ def land_files(
         if not lake.ledger("batches").filter(F.col("run_id") == run_id).isEmpty():
             return
         batch_id = lake.next_batch_id()
-        n = lake.write_batch(rows, table, day, batch_id)
-        lake.commit_batch(Batch(batch_id, day, None, None, {table: n}), run_id)
+        batch = Batch(batch_id, day, None, None, {})
+        batch.rows[table] = lake.write_batch(rows, table, batch)
+        lake.commit_batch(batch, run_id)
 
     before = len(lake.batches())
     stream = (

@@ -12,7 +12,7 @@ from orderlake.plans import jobs
 from orderlake.plans.queries import REFERENCE_DATE, Tables, registered
 from orderlake.schemas import FLOOR_WATERMARK
 from orderlake.sources.frames import FrameSource
-from orderlake.sources.lake import Lake
+from orderlake.sources.lake import Batch, Lake, WriterConflict
 
 
 class Shop:
@@ -167,14 +167,9 @@ def test_orphans_are_judged_against_all_loads(lake, shop, spark):
     shop.sell("L1", "A", "2024-01-01T10:00:00")
     jobs.ingest(shop.source(), lake, "2024-01-01")
     jobs.silver(lake)
-    # the same line again, now without its line row passing: options of a line loaded earlier
+    # options of a line loaded earlier, and of none
     late = options(spark, [("A", "L1", "late", 3, 1), ("A", "L9", "lost", 3, 1)])
-    from orderlake.sources.lake import Batch
-
-    batch = Batch(2, dt.date(2024, 1, 2), None, None, {})
-    batch.rows["order_items"] = lake.write_batch(items(spark, []), "order_items", batch.load_date, 2)
-    batch.rows["order_item_options"] = lake.write_batch(late, "order_item_options", batch.load_date, 2)
-    lake.commit_batch(batch, "by hand")
+    land(lake, Batch(2, dt.date(2024, 1, 2), None, None, {}), order_item_options=late)
     jobs.silver(lake)
     assert [r.OPTION_NAME for r in lake.rejects("order_item_options").collect()] == ["lost"]
 
@@ -185,7 +180,7 @@ def test_unreadable_calendar_stops_silver_before_anything_is_published(lake, sho
     jobs.ingest(shop.source(), lake, "2024-01-01")
     with pytest.raises(ValueError, match="date_key"):
         jobs.silver(lake)
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(LookupError):
         lake.silver("order_items_enriched")
     shop.keys.pop()
     jobs.ingest(shop.source(), lake, "2024-01-02")
@@ -193,14 +188,125 @@ def test_unreadable_calendar_stops_silver_before_anything_is_published(lake, sho
     assert set(revenue(lake)) == {"L1"}
 
 
-def test_lookback_limits_the_batches(lake, shop):
+def land(lake, batch, **tables):
+    for table, rows in tables.items():
+        batch.rows[table] = lake.write_batch(rows, table, batch)
+    lake.commit_batch(batch, f"by hand {batch.batch_id}")
+
+
+def landed(lake, number, **tables):
+    land(lake, Batch(number, dt.date(2024, 1, number), None, None, {}), **tables)
+    return jobs.silver(lake)
+
+
+def with_calendar(spark, **tables):
+    return tables | {"date_dim": calendar(spark, ["01-01-2024"])}
+
+
+def test_line_that_gets_a_time_leaves_the_day_without_one(lake, spark):
+    first = items(spark, [("L1", "A", "u", None, 10, 1), ("L0", "A", "u", None, 1, 1)])
+    landed(lake, 1, **with_calendar(spark, order_items=first))
+    again = landed(lake, 2, order_items=items(spark, [("L1", "A", "u", "2024-01-01T10:00:00", 10, 1)]))
+    assert again == [day("2024-01-01"), None]
+    rows = sorted((r.LINEITEM_ID, r.ORDER_DATE) for r in lake.silver("order_items_enriched").collect())
+    assert rows == [("L0", None), ("L1", day("2024-01-01"))]
+
+
+def test_options_that_come_after_their_line_are_counted(lake, spark):
+    landed(lake, 1, **with_calendar(spark, order_items=items(spark, [("L1", "A", "u", "2024-01-01T10:00:00", 10, 1)])))
+    assert landed(lake, 2, order_item_options=options(spark, [("A", "L1", "x", 3, 1)])) == [day("2024-01-01")]
+    assert revenue(lake) == {"L1": D("13.00")} and lake.rejects("order_item_options").isEmpty()
+    jobs.silver(lake, {1})
+    assert revenue(lake) == {"L1": D("13.00")}
+
+
+def test_options_that_come_before_their_line_leave_the_rejects(lake, spark):
+    given = [("A", "L1", "x", 3, 1), ("A", "L9", "lost", 1, 1)]
+    landed(lake, 1, **with_calendar(spark, order_item_options=options(spark, given)))
+    assert {r.LINEITEM_ID for r in lake.rejects("order_item_options").collect()} == {"L1", "L9"}
+    landed(lake, 2, order_items=items(spark, [("L1", "A", "u", "2024-01-01T10:00:00", 10, 1)]))
+    assert revenue(lake) == {"L1": D("13.00")}
+    assert [r.LINEITEM_ID for r in lake.rejects("order_item_options").collect()] == ["L9"]
+    # options in = options in silver and options rejected
+    in_silver = lake.silver("order_items_enriched").agg(F.sum("NUM_OPTIONS")).first()[0]
+    assert raw(lake, "order_item_options").count() == in_silver + lake.rejects("order_item_options").count()
+    for batch in (1, 2):
+        jobs.silver(lake, {batch})
+        assert revenue(lake) == {"L1": D("13.00")} and lake.rejects("order_item_options").count() == 1
+
+
+def test_row_that_left_the_source_goes_with_a_replay(lake, shop):
+    shop.sell("L1", "A", "2024-01-01T10:00:00")
+    shop.sell("L2", "B", "2024-01-02T10:00:00")
+    jobs.ingest(shop.source(), lake, "2024-01-02")
+    jobs.silver(lake)
+    shop.items.pop(0)
+    assert jobs.replay(shop.source(), lake, 1).rows["order_items"] == 1
+    assert lake.batches()[0].rows["order_items"] == 1
+    jobs.silver(lake)
+    assert revenue(lake) == {"L2": D("10.00")}
+
+
+def test_crash_during_a_replay_leaves_the_old_generation(lake, shop, monkeypatch):
     shop.sell("L1", "A", "2024-01-01T10:00:00")
     jobs.ingest(shop.source(), lake, "2024-01-01")
+    shop.items.clear()
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Lake, "commit_batch", die)
+        with pytest.raises(RuntimeError, match="lost"):
+            jobs.replay(shop.source(), lake, 1)
+    assert raw(lake).count() == 1 and lake.batches()[0].generation == 1
     jobs.silver(lake)
-    shop.sell("L2", "B", "2024-01-03T10:00:00")
-    jobs.ingest(shop.source(), lake, "2024-01-03")
-    assert jobs.silver(lake, lookback_days=1) == [day("2024-01-03")]
-    assert set(revenue(lake)) == {"L1", "L2"}
+    assert set(revenue(lake)) == {"L1"}
+
+
+def test_options_removed_at_the_source_are_no_longer_charged(lake, shop):
+    shop.sell("L1", "A", "2024-01-01T10:00:00", extras=[("x", 3)])
+    jobs.ingest(shop.source(), lake, "2024-01-01")
+    jobs.silver(lake)
+    assert revenue(lake) == {"L1": D("13.00")}
+    shop.options.clear()
+    shop.sell("L1", "A", "2024-01-01T11:00:00")
+    jobs.ingest(shop.source(), lake, "2024-01-02")
+    jobs.silver(lake)
+    assert revenue(lake) == {"L1": D("10.00")}
+    jobs.silver(lake, {1})
+    assert revenue(lake) == {"L1": D("10.00")}
+
+
+def test_second_writer_is_noticed(lake, shop):
+    shop.sell("L1", "A", "2024-01-01T10:00:00")
+    source = shop.source()
+    late = Batch(1, dt.date(2024, 1, 1), FLOOR_WATERMARK, "2024-01-01T10:00:00.000000", {})
+    jobs.ingest(source, lake, "2024-01-01")
+    with pytest.raises(WriterConflict):
+        land(lake, late, order_items=source.batch("order_items", late.lo, late.hi))
+    stale = Batch(2, dt.date(2024, 1, 1), FLOOR_WATERMARK, "2024-01-01T10:00:00.000000", {})
+    with pytest.raises(WriterConflict):
+        land(lake, stale, order_items=source.batch("order_items", stale.lo, stale.hi))
+
+
+def test_new_batches_read_no_earlier_raw_batch(lake, shop, monkeypatch):
+    shop.sell("L1", "A", "2024-01-01T10:00:00")
+    jobs.ingest(shop.source(), lake, "2024-01-01")
+    jobs.silver(lake)
+    shop.sell("L2", "B", "2024-01-01T11:00:00")
+    jobs.ingest(shop.source(), lake, "2024-01-02")
+    asked, read = [], Lake.read_batches
+
+    def seen(self, table, batches=None):
+        asked.append(batches and [b.batch_id for b in batches])
+        return read(self, table, batches)
+
+    monkeypatch.setattr(Lake, "read_batches", seen)
+    jobs.silver(lake)
+    assert asked and all(ids == [2] for ids in asked)
+    text = read(lake, "order_items", lake.batches({2}))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "batch_id" in text[text.index("PartitionFilters") :]
 
 
 def test_reports_are_versioned_together(lake, shop):

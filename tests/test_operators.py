@@ -79,10 +79,8 @@ def test_null_keys_are_orphans(spark):
     assert [r.OPTION_NAME for r in quality.valid_options(opts, valid).collect()] == ["x"]
     orphans = quality.orphan_options(opts, valid)
     assert sorted(r.OPTION_NAME for r in orphans.collect()) == ["w", "y", "z"]
-    (n,) = quality.conservation(
-        {"o": (opts, quality.valid_options(opts, valid), orphans)}
-    ).collect()
-    assert n.n_in == n.n_valid + n.n_rejected == 4
+    (n,) = quality.conservation({"o": (opts, quality.judged_options(opts, valid))}).collect()
+    assert (n.n_in, n.n_valid, n.n_rejected) == (4, 1, 3)
     assert by(quality.lines_without_options(valid, opts), "LINEITEM_ID").keys() == {"L2"}
 
 

@@ -149,11 +149,6 @@ def test_hot_day_is_written_by_several_tasks(spark, settings, tmp_path):
     assert counts[1] > 5 and max(n for d, n in counts.items() if d != 1) <= 3
 
 
-def test_only_small_frames_are_broadcast(spark):
-    assert "hint" in lineage.small(spark.range(10), 10)._jdf.queryExecution().logical().toString().lower()
-    assert "hint" not in lineage.small(spark.range(11), 10)._jdf.queryExecution().logical().toString().lower()
-
-
 def test_checkpoints_go_to_the_folder_of_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = lineage.checkpoint_dir(spark)

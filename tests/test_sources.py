@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from frames import items, options
 from pyspark.sql import functions as F
 
@@ -27,11 +28,36 @@ def write_items(tmp_path):
 
 
 def test_csv_with_line_breaks_and_quotes(spark, tmp_path):
-    rows = files.read_csv(spark, write_items(tmp_path), "order_items").collect()
-    assert len(rows) == 3
+    path = write_items(tmp_path)
+    rows = files.read_csv(spark, path, "order_items").collect()
+    assert len(rows) == 2
     assert rows[0].ITEM_NAME == "1/4 Plate,\nWhite Meat" and rows[1].ITEM_NAME == 'a "big" one'
     assert rows[0].PRINTED_CARD_NUMBER == "00123" and rows[0].ITEM_PRICE == D("10.50")
-    assert rows[1].USER_ID is None and rows[2].LINEITEM_ID is None
+    assert rows[1].USER_ID is None
+    (bad,) = files.unparsed(files.read_csv_text(spark, path, "order_items"), "order_items").collect()
+    assert bad.REJECT_REASON == "ITEM_PRICE is not decimal(10,2), ITEM_QUANTITY is not int"
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "calendar.csv"
+    path.write_text(
+        "date_key,year,month,week,day_of_week,is_weekend,is_holiday,holiday_name,note\n"
+        "01-01-2024,2024,1,1,Mon,false,true,New Year,x\n"
+    )
+    (row,) = files.read_csv(spark, str(path), "date_dim").collect()
+    assert (row.is_weekend, row.is_holiday, row.year) == ("false", "true", 2024) and "note" not in row.asDict()
+    path = tmp_path / "options.csv"
+    path.write_text(
+        "LINEITEM_ID,ORDER_ID,OPTION_GROUP_NAME,OPTION_NAME,OPTION_QUANTITY,OPTION_PRICE\nL1,A,g,x,2,9.50\nL2,A,g,y,1,$9.50\n"
+    )
+    (row,) = files.read_csv(spark, str(path), "order_item_options").collect()
+    assert (row.ORDER_ID, row.LINEITEM_ID, row.OPTION_PRICE, row.OPTION_QUANTITY) == ("A", "L1", D("9.50"), 2)
+    text = files.read_csv_text(spark, str(path), "order_item_options")
+    (bad,) = files.unparsed(text, "order_item_options").collect()
+    assert (bad.LINEITEM_ID, bad.REJECT_REASON) == ("L2", "OPTION_PRICE is not decimal(10,2)")
+    path.write_text("LINEITEM_ID,ORDER_ID\nL1,A\n")
+    with pytest.raises(ValueError, match="OPTION_PRICE"):
+        files.read_csv(spark, str(path), "order_item_options")
 
 
 def test_text_is_cast_and_what_does_not_fit_is_null(spark, tmp_path):
