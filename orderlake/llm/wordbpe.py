@@ -16,7 +16,7 @@ from pathlib import Path
 from tokenizers import Tokenizer
 
 #: Distinct pieces and words a worker remembers; beyond that it starts anew.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 #: Stands for the end of a word inside symbols; a private character no byte maps to.
 END = "\ue000"
 
