@@ -1,7 +1,7 @@
 """A byte-pair vocabulary with word ends, as a ``tokenizers`` file describes it.
 
 No word crosses white space, so texts are cut there first, and each distinct piece between two blanks is
-normalised and cut into words once per worker. What is merged into what is left to the callers.
+normalised and cut into words once per task or worker. What is merged into what is left to the callers.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pathlib import Path
 
 from tokenizers import Tokenizer
 
-#: Distinct pieces and words a worker remembers; beyond that it starts anew.
+#: Distinct pieces and words a task or worker remembers; beyond that it starts anew.
 REMEMBERED = 1 << 19
 #: Stands for the end of a word inside symbols; a private character no byte maps to.
 END = "\ue000"
