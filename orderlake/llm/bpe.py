@@ -129,18 +129,17 @@ def _proposer(path: str) -> Proposer:
     return Proposer(wordbpe.load(path))
 
 
-def _encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
-    """Ids of pieces without white space. Words are remembered as long as the function lives, which is one
-    task: a worker goes on to other tasks, whose memory they would take."""
-    bpe = wordbpe.load(path)
-    words = wordbpe.Remembered(_proposer(path).encode)
+def _words(path: str) -> wordbpe.Remembered:
+    """Ids of words. They are remembered for one task: a worker goes on to others, whose memory they would take."""
+    return wordbpe.Remembered(_proposer(path).encode)
 
-    def encoded(new: list[str]) -> list[list[int]]:
-        cut = [bpe.words(piece) for piece in new]
-        known = words({word for own in cut for word in own})
-        return [[t for word in own for t in known[word]] for own in cut]
 
-    return encoded
+def _encoded(path: str, new: list[str], words: wordbpe.Remembered | None = None) -> list[list[int]]:
+    """Ids of pieces without white space; ``words`` remembers across calls."""
+    bpe = wordbpe.load(path)
+    cut = [bpe.words(piece) for piece in new]
+    known = (words or _words(path))({word for own in cut for word in own})
+    return [[t for word in own for t in known[word]] for own in cut]
 
 
 def decode(path: str, ids: list[int]) -> str:
@@ -150,17 +149,18 @@ def decode(path: str, ids: list[int]) -> str:
 
 def _pieces(path: str) -> wordbpe.Remembered:
     """Per piece: the number of its ids, the ids as text, and what they decode to."""
-    encoded = _encoder(path)
+    words = _words(path)
 
     def answer(new: list[str]) -> Iterator[tuple[int, str, str]]:
-        return ((len(ids), " ".join(map(str, ids)), decode(path, ids)) for ids in encoded(new))
+        return ((len(ids), " ".join(map(str, ids)), decode(path, ids)) for ids in _encoded(path, new, words))
 
     return wordbpe.Remembered(answer)
 
 
 def _encode(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_pieces = wordbpe.Remembered(_encoder(path))
+        words = _words(path)
+        known_pieces = wordbpe.Remembered(lambda new: _encoded(path, new, words))
         for whole in batches:
             for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(first, TEXTS_AT_ONCE)
