@@ -10,6 +10,7 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -152,6 +153,27 @@ def test_near_duplicates(ready):
     assert {h[2:] for h in have if h[0] is None} == {(dict((w[0], w[2]) for w in want)[30], False), (None, True)}
 
 
+def test_classes_are_linked_to_every_component_they_touch():
+    """A group, of which one member only is similar to a chain right of it; the chain's links have smaller ids."""
+    for chain in ([16, 12], [24, 20, 16, 12], [12, 16]):
+        starts = [*chain, *[0] * 30, 4]
+        texts = [" ".join(f"w{k}" for k in range(start, start + 100)) + f" own{i}" for i, start in enumerate(starts)]
+        group = [i >= len(chain) for i in range(len(starts))]
+        # the chain's classes are one component already, or each its own
+        for labels in ([0 if not g else 10 for g in group], [i if not g else 10 for i, g in enumerate(group)]):
+            rows = [(10, i, labels[i], True, text) for i, text in enumerate(texts)]
+            rows += [(10, i, labels[i], False, text) for i, text in enumerate(texts) if not group[i]]
+            names = ["against", "id", "component", "member", "text"]
+            links = near_dups._tested(1, 80)(pa.table(dict(zip(names, map(list, zip(*rows)))))).to_pylist()
+            # as many links as there are components to bring together, and each holds on the full sets
+            root = {c: c for c in labels}
+            for link in links:
+                assert len({w[2] for w in brute.near([(i, texts[i]) for i in link.values()], size=1)}) == 1
+                one, two = (root[labels[i]] for i in link.values())
+                root = {c: one if r == two else r for c, r in root.items()}
+            assert len(set(root.values())) == 1 == len(set(labels)) - len(links)
+
+
 def test_sketches_estimate_and_merge():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 1 << 63, 3000, np.uint64)
