@@ -69,13 +69,11 @@ class Shard:
     """An index over distinct vectors: per substring and byte value, the codes with it, as bits."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, turn: np.ndarray, within: int, nearest: int):
-        order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], vectors[order]
         self._vectors, entry = _distinct(vectors)
-        # of copies only the smallest ids can be among the nearest, the query's own left aside
-        order = np.lexsort((ids, entry))
-        begin = np.searchsorted(entry[order], np.arange(len(self._vectors) + 1))
-        self._ids = [ids[order[a : min(b, a + nearest + 1)]] for a, b in zip(begin, begin[1:])]
+        # repeated rows count once; of copies only the smallest ids can be among the nearest, the query's own left aside
+        entry, ids = np.unique(np.stack([entry, ids]), axis=1)
+        begin = np.searchsorted(entry, np.arange(len(self._vectors) + 1))
+        self._ids = [ids[a : min(b, a + nearest + 1)] for a, b in zip(begin, begin[1:])]
         self._codes = codes(self._vectors, turn)
         self._within, self._nearest = within, nearest
         n, m = self._codes.shape
@@ -89,20 +87,28 @@ class Shard:
             self._lists[sub] = np.packbits(near.astype(np.float32) @ single.astype(np.float32) > 0, axis=1)
 
     def search(self, query: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the nearest entries within the radius, best first, ties to the smaller id."""
+        """Distinct ids and scores of the nearest entries within the radius, best first, ties to the smaller id.
+        An id with several vectors has the score of its best."""
         lists = self._lists[np.arange(len(code)), code]
         met = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(lists, axis=0))[: len(self._codes)])
         met = met[BYTE_BITS[self._codes[met] ^ code].sum(1, dtype=np.int32) <= self._within]
         scores = (self._vectors[met] * query).sum(1)
         if len(met) > 4 * self._nearest:
             worst = np.partition(scores, len(met) - self._nearest - 1)[len(met) - self._nearest - 1]
-            met, scores = met[scores >= worst], scores[scores >= worst]
+            ids, best = self._best(met[scores >= worst], scores[scores >= worst])
+            # fewer only if ids with several vectors among the best entries took the places of others
+            if len(ids) > self._nearest:
+                return ids, best
+        return self._best(met, scores)
+
+    def _best(self, met: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(met):
             return np.zeros(0, np.int64), scores
         ids = np.concatenate([self._ids[i] for i in met])
         scores = np.repeat(scores, [len(self._ids[i]) for i in met])
-        best = np.lexsort((ids, -scores))[: self._nearest + 1]
-        return ids[best], scores[best]
+        order = np.lexsort((ids, -scores))
+        first = np.sort(np.unique(ids[order], return_index=True)[1])[: self._nearest + 1]
+        return ids[order][first], scores[order][first]
 
 
 def _distinct(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +195,8 @@ def nearest_neighbours(
 
     Equal scores rank by the smaller id. Vectors that are null, all zero, or hold a null or non-finite
     component take no part, nor do rows without id and vectors of another length than the most frequent one
-    of the sample. Repeated rows of one id and vector count once in a result. Other columns are not read.
+    of the sample. Repeated rows of one id and vector count once in a result, and an id with several vectors
+    once, with its best score. Other columns are not read.
     The search is approximate: a true neighbour farther than the learned radius in code bits is missed.
     """
     spark = vectors.sparkSession
@@ -215,6 +222,6 @@ def nearest_neighbours(
         _search(turn, within, nearest), "query_id bigint, vec_id bigint, score double"
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    others = met.filter("vec_id <> query_id").dropDuplicates(["query_id", "vec_id"])
+    others = met.filter("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = others.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= nearest)
     return ranked.select("query_id", "rank", "vec_id", "score")

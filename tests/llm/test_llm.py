@@ -204,6 +204,26 @@ def test_nearest(ready):
     assert set(found) == set(range(0, 900, 20)) and hits >= 0.9 * 20 * 45
 
 
+@pytest.mark.parametrize("again", [2, 25])
+def test_repeated_vectors_take_no_places_of_others(again):
+    """In one shard: rows that occur several times, one vector under many ids, and ids with several vectors."""
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(300, 16))
+    vectors[40:90] = vectors[40]
+    ids = np.arange(300)
+    ids[200:240] = 200
+    rows = rng.permutation(np.repeat(np.arange(300), again))
+    turn = nearest.learn(vectors, 2, 3)
+    shard = nearest.Shard(ids[rows], vectors[rows], turn, turn.shape[1], 20)
+    for i in (0, 40, 60, 200, 210, 299):
+        scores = defaultdict(lambda: -np.inf)
+        for n, score in zip(ids, (vectors * vectors[i]).sum(1)):
+            scores[n] = max(scores[n], score)
+        best = sorted(scores, key=lambda n: (-scores[n], n))[:21]
+        found = shard.search(vectors[i], nearest.codes(vectors[[i]], turn)[0])
+        assert found[0].tolist() == best and np.allclose(found[1], [scores[n] for n in best])
+
+
 def test_language_on_documents_it_has_not_seen(ready, small_data):
     langs = dict(duckdb.sql(f"SELECT doc_id, lang FROM '{small_data}/documents.parquet'").fetchall())
     rows = QUERIES["op9_language_id"](ready, small_data).collect()
