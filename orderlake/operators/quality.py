@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,11 @@ def rejected(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return bad.withColumn(REASON, F.concat_ws(", ", *reasons))
 
 
+def accepted(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Rows that break no rule; with ``rejected`` these are all rows."""
+    return df.filter(reduce(and_, [~broken for broken in rules.values()], F.lit(True)))
+
+
 def valid_items(items: DataFrame, required: list[str] = REQUIRED_ITEM_COLUMNS) -> DataFrame:
     """Lines with every required column present."""
     return present(items, required)

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,18 +33,18 @@ def _fields(table: str) -> dict[str, str]:
     return dict(part.split() for part in SCHEMAS[table].split(", "))
 
 
-def read_csv_text(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str | list[str], table: str, **options: str) -> DataFrame:
     """A source table from delimited text, columns found by the names in the header, as text.
 
     A missing column raises at once, further ones are left out. The files of one read have to share one
     order of columns: Spark compares every header and fails on another one. A file with line breaks inside
     values is read by one task, so large exports should be many files.
     """
-    wanted, header = list(_fields(table)), _csv(spark).csv(path).columns
+    wanted, header = list(_fields(table)), _csv(spark).options(**options).csv(path).columns
     if missing := [c for c in wanted if c not in header]:
         raise ValueError(f"{table} lacks the columns {', '.join(missing)}")
     schema = StructType([StructField(c, StringType()) for c in header])
-    return _csv(spark).option("enforceSchema", False).schema(schema).csv(path).select(*wanted)
+    return _csv(spark).options(**options).option("enforceSchema", False).schema(schema).csv(path).select(*wanted)
 
 
 def _typed(table: str) -> dict[str, str]:
@@ -55,9 +53,8 @@ def _typed(table: str) -> dict[str, str]:
 
 def typed(text: DataFrame, table: str) -> DataFrame:
     """Rows of text whose values all fit the table's types, cast to them."""
-    rules = quality.unparsed(_typed(table))
-    fits = reduce(and_, [~broken for broken in rules.values()], F.lit(True))
-    return text.filter(fits).withColumns({c: F.col(c).try_cast(kind) for c, kind in _typed(table).items()})
+    fitting = quality.accepted(text, quality.unparsed(_typed(table)))
+    return fitting.withColumns({c: F.col(c).try_cast(kind) for c, kind in _typed(table).items()})
 
 
 def unparsed(text: DataFrame, table: str) -> DataFrame:

@@ -8,18 +8,20 @@ that dies in between leaves files no reader looks at.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.operators import quality
 from orderlake.schemas import ENRICHED, FLOOR_WATERMARK, SCHEMAS
 from orderlake.session import require_utc
+from orderlake.sources.sinks import replace_table
 
 _LEDGERS = {
     "batches": "batch_id bigint, generation bigint, table_name string, load_date date, lo string, hi string, "
-    "n_rows bigint, run_id string, committed_at timestamp",
+    "n_rows bigint, n_unparsed bigint, run_id string, committed_at timestamp",
     # per run one row for each batch taken in and one for each day rebuilt
     "silver": "run bigint, batch_id bigint, generation bigint, is_day boolean, day date, committed_at timestamp",
     "reports": "version bigint, reference_date date, committed_at timestamp",
@@ -32,7 +34,7 @@ class WriterConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Batch:
-    """One committed load: the range it read and the rows it found per table."""
+    """One committed load: the range it read, and per table the rows it found that fit and that do not."""
 
     batch_id: int
     load_date: dt.date
@@ -40,6 +42,7 @@ class Batch:
     hi: str | None
     rows: dict[str, int]
     generation: int = 1
+    unparsed: dict[str, int] = field(default_factory=dict)
 
     @property
     def decides_options(self) -> bool:
@@ -111,17 +114,31 @@ class Lake:
         newest = self.committed().filter(F.col("table_name") == table).agg(F.max("batch_id")).first()[0]
         return None if newest is None else self.batches({newest})[0]
 
-    def _raw_path(self, table: str, batch: Batch) -> str:
-        return self.zone("raw", table, f"load_date={batch.load_date}", f"batch_id={batch.batch_id}", f"generation={batch.generation}")
+    def _batch_path(self, batch: Batch, *zone: str) -> str:
+        return self.zone(*zone, f"load_date={batch.load_date}", f"batch_id={batch.batch_id}", f"generation={batch.generation}")
 
     def write_batch(self, df: DataFrame, table: str, batch: Batch) -> int:
         """Write one table of a batch into its own folder and return the number of rows, counted while
-        writing. A value that does not fit its column's type is stored as null."""
-        fields = [part.split() for part in SCHEMAS[table].split(", ")]
-        typed = df.select([F.col(name).try_cast(kind).alias(name) for name, kind in fields])
+        writing. Rows with a value that does not fit its column's type go to the rejects of the batch's
+        generation, as text and with the reasons, and are counted in ``batch.unparsed``."""
+        fields = dict(part.split() for part in SCHEMAS[table].split(", "))
+        rows = df.select([F.col(name).alias(name) for name in fields])
+        rules = quality.unparsed({c: fields[c] for c, has in rows.dtypes if fields[c] not in ("string", has)})
+        batch.unparsed[table] = 0
+        if rules:
+            # both parts are taken from one reading of the source
+            staged = self._batch_path(batch, "staging", "batches", table)
+            replace_table(rows, staged)
+            rows = self.spark.read.schema(rows.schema).parquet(staged)
+            bad = quality.rejected(rows, rules).select([F.col(c).cast("string").alias(c) for c in [*fields, quality.REASON]])
+            batch.unparsed[table] = self._write_counted(bad, self._batch_path(batch, "rejects", "unparsed", table))
+            rows = quality.accepted(rows, rules)
+        typed = rows.select([F.col(name).try_cast(kind).alias(name) for name, kind in fields.items()])
+        return self._write_counted(typed, self._batch_path(batch, "raw", table))
+
+    def _write_counted(self, rows: DataFrame, path: str) -> int:
         seen = Observation()
-        counted = typed.observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("overwrite").parquet(self._raw_path(table, batch))
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
         return seen.get["n"]
 
     def commit_batch(self, batch: Batch, run_id: str) -> None:
@@ -135,7 +152,7 @@ class Lake:
         self.commit(
             "batches",
             [
-                (batch.batch_id, batch.generation, table, batch.load_date, batch.lo, batch.hi, n, run_id)
+                (batch.batch_id, batch.generation, table, batch.load_date, batch.lo, batch.hi, n, batch.unparsed.get(table, 0), run_id)
                 for table, n in batch.rows.items()
             ],
         )
@@ -143,7 +160,7 @@ class Lake:
             raise WriterConflict(f"batch {batch.batch_id} was committed twice")
 
     def next_generation(self, batch: Batch) -> Batch:
-        return replace(batch, rows={}, generation=batch.generation + 1)
+        return replace(batch, rows={}, unparsed={}, generation=batch.generation + 1)
 
     def read_batches(self, table: str, batches: list[Batch] | None = None) -> DataFrame:
         """The rows of a raw table with load date and batch: of the given batches in the generation they
@@ -196,6 +213,16 @@ class Lake:
         taken = self.ledger("silver").filter(~F.col("is_day")).groupBy("batch_id").agg(F.max("run").alias("run"))
         return self.spark.read.parquet(self.zone("rejects", table)).join(taken, ["batch_id", "run"]).drop("run")
 
+    def unparsed(self, table: str) -> DataFrame:
+        """Rows of all committed batches with a value that does not fit its column's type, as text, with the
+        reasons, load date and batch."""
+        fields = ", ".join(f"{part.split()[0]} string" for part in SCHEMAS[table].split(", "))
+        schema = f"{fields}, {quality.REASON} string, load_date date, batch_id bigint, generation bigint"
+        # a batch that set nothing aside may have files of a dead run in its folder
+        chosen = self.committed().filter((F.col("table_name") == table) & (F.col("n_unparsed") > 0))
+        keys = ["load_date", "batch_id", "generation"]
+        return self._read(schema, "rejects", "unparsed", table).join(chosen.select(*keys), keys, "left_semi").drop("generation")
+
     # reports
 
     def report_version(self) -> int:
@@ -212,5 +239,6 @@ def _batches(rows: DataFrame) -> list[Batch]:
     found: dict[int, Batch] = {}
     for row in rows.orderBy("batch_id", "table_name").collect():
         batch = Batch(row.batch_id, row.load_date, row.lo, row.hi, {}, row.generation)
-        found.setdefault(row.batch_id, batch).rows[row.table_name] = row.n_rows
+        batch = found.setdefault(row.batch_id, batch)
+        batch.rows[row.table_name], batch.unparsed[row.table_name] = row.n_rows, row.n_unparsed or 0
     return list(found.values())

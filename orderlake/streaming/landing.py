@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from orderlake.functions.columns import as_date
 from orderlake.schemas import SCHEMAS
+from orderlake.sources import files
 from orderlake.sources.lake import Batch, Lake
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def land_files(
     lake: Lake,
@@ -27,15 +30,19 @@ def land_files(
 ) -> int:
     """Take all new files of one table and return the number of batches committed for it.
 
-    A micro-batch that is repeated after a failure finds its run in the ledger, or overwrites the
+    Delimited text is read by the names in the header, as ``files.read_csv_text`` does, and rows with a value
+    that does not fit are set aside by ``Lake.write_batch``. A micro-batch that is repeated after a failure finds its run in the ledger, or overwrites the
     folder it had not committed.
     """
+    by_header = file_format == "csv"
     day = as_date(load_date)
 
     def commit(rows: DataFrame, epoch: int) -> None:
         run_id = f"stream-{table}-{epoch}"
         if not lake.ledger("batches").filter(F.col("run_id") == run_id).isEmpty():
             return
+        if by_header:
+            rows = files.read_csv_text(lake.spark, [row.path for row in rows.collect()], table, **options)
         batch_id = lake.next_batch_id()
         batch = Batch(batch_id, day, None, None, {})
         batch.rows[table] = lake.write_batch(rows, table, batch)
@@ -43,11 +50,13 @@ def land_files(
 
     before = len(lake.batches())
     stream = (
-        lake.spark.readStream.schema(SCHEMAS[table])
-        .format(file_format)
+        lake.spark.readStream.schema(_FILES if by_header else SCHEMAS[table])
+        .format("binaryFile" if by_header else file_format)
         .options(maxFilesPerTrigger=max_files, **options)
         .load(folder)
     )
+    # of delimited text the stream finds the files, of which only the names are read
+    stream = stream.select("path") if by_header else stream
     query = (
         stream.writeStream.foreachBatch(commit)
         .option("checkpointLocation", lake.zone("ops", "streams", table))

@@ -110,6 +110,29 @@ def test_line_sent_again_for_another_day_moves(lake, shop):
     }
 
 
+def test_values_that_do_not_fit_are_set_aside_with_a_reason(lake, shop):
+    shop.sell("L1", "A", "2024-01-01T10:00:00", extras=[("x", 2)])
+    shop.sell("L2", "B", "2024-01-01T11:00:00")
+    source = shop.source()
+
+    def text(table):
+        price = F.when(F.col("LINEITEM_ID") == "L2", "$9.50").otherwise(F.col("ITEM_PRICE").cast("string"))
+        rows = source.read(table)
+        return rows.withColumn("ITEM_PRICE", price) if table == "order_items" else rows
+
+    batch = jobs.ingest(FrameSource(text), lake, "2024-01-01")
+    for seen in (batch, lake.batches()[0]):
+        assert (seen.rows["order_items"], seen.unparsed["order_items"]) == (1, 1)
+    jobs.silver(lake)
+    assert revenue(lake) == {"L1": D("12.00")}
+    (bad,) = lake.unparsed("order_items").collect()
+    assert (bad.LINEITEM_ID, bad.ITEM_PRICE, bad.batch_id, bad.REJECT_REASON) == ("L2", "$9.50", 1, "ITEM_PRICE is not decimal(10,2)")
+    # once the source is mended, a replay takes the line in
+    assert jobs.replay(source, lake, 1).unparsed["order_items"] == 0
+    jobs.silver(lake)
+    assert lake.unparsed("order_items").isEmpty() and revenue(lake) == {"L1": D("12.00"), "L2": D("10.00")}
+
+
 def test_copies_inside_one_load_are_kept(lake, shop):
     shop.sell("L1", "A", "2024-01-01T10:00:00")
     shop.sell("L1", "A", "2024-01-01T10:00:00")

@@ -27,6 +27,23 @@ def test_each_landed_file_is_taken_once(spark, tmp_path):
     assert [r.OPTION_NAME for r in lake.rejects("order_item_options").collect()] == ["y"]
 
 
+def test_landed_text_is_read_by_header_and_misfits_are_set_aside(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    drop = tmp_path / "options"
+    drop.mkdir()
+    header = "LINEITEM_ID,ORDER_ID,OPTION_GROUP_NAME,OPTION_NAME,OPTION_QUANTITY,OPTION_PRICE\n"
+    (drop / "a.csv").write_text(header + "L1,A,g,x,2,9.50\nL2,A,g,y,1,$9.50\n")
+    assert land_files(lake, "order_item_options", str(drop), "2024-01-01", "csv") == 1
+    (row,) = lake.read_batches("order_item_options").collect()
+    assert (row.ORDER_ID, row.LINEITEM_ID, row.OPTION_PRICE, row.OPTION_QUANTITY) == ("A", "L1", D("9.50"), 2)
+    (bad,) = lake.unparsed("order_item_options").collect()
+    assert (bad.LINEITEM_ID, bad.OPTION_PRICE, bad.REJECT_REASON) == ("L2", "$9.50", "OPTION_PRICE is not decimal(10,2)")
+    (drop / "b.csv").write_text(header + "L3,B,g,z,1,1\n")
+    assert land_files(lake, "order_item_options", str(drop), "2024-01-02", "csv") == 1
+    assert {r.LINEITEM_ID for r in lake.read_batches("order_item_options").collect()} == {"L1", "L3"}
+    assert [b.unparsed["order_item_options"] for b in lake.batches()] == [1, 0]
+
+
 def test_repeated_micro_batch_is_committed_once(spark, tmp_path, monkeypatch):
     lake = Lake(spark, str(tmp_path / "lake"))
     drop = str(tmp_path / "items")
