@@ -2,8 +2,183 @@
 
 from __future__ import annotations
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 _SQL: dict[str, str] = {}
 
+_SQL["op11_source_divergence"] = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text
+    FROM documents
+),
+words AS (
+    SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+),
+languages AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 30
+),
+totals AS (SELECT lang, sum(n) AS total, count(*) AS v FROM languages GROUP BY lang),
+grps AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (
+    SELECT w.lang, w.source, w.term, count(*) AS n FROM words w SEMI JOIN languages USING (lang, term) GROUP BY ALL
+),
+sized AS (
+    SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total FROM grps g LEFT JOIN counts c USING (lang, source) GROUP BY ALL
+),
+shares AS (
+    SELECT s.lang, s.source, l.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.total + 5 * t.v) AS p,
+           1 + (1000000000::HUGEINT * (l.n + 5)) // (t.total + 5 * t.v) AS q
+    FROM sized s JOIN languages l USING (lang) JOIN totals t USING (lang)
+    LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = l.term
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+    FROM grps a JOIN grps b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    GROUP BY ALL
+),
+ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM ranked
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM numbered WHERE part = 'pair' OR r <= 50
+"""
+
+_SQL["op12_source_mix"] = r"""
+WITH labelled AS (
+    SELECT doc_id, CASE WHEN max(quality) > 0 THEN 2.0 ELSE 0.5 END AS weight
+    FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+),
+docs AS (
+    SELECT d.doc_id, d.source, len(regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           md5(coalesce(d.doc_id::VARCHAR, '') || ':' || coalesce(d.source, '') || ':' || coalesce(d.text, '')) AS digest,
+           coalesce(l.weight, 1.0)::DOUBLE AS weight
+    FROM documents d LEFT JOIN labelled l ON d.doc_id = l.doc_id
+),
+keyed AS (
+    SELECT doc_id, source, size,
+           -ln((('0x' || substr(digest, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE) / weight AS key
+    FROM docs
+),
+sources AS (
+    SELECT source, sum(size)::HUGEINT AS source_size,
+           [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT]::HUGEINT AS weight
+    FROM keyed GROUP BY source
+),
+filled AS (
+    SELECT *, sum(source_size) OVER () AS whole,
+           coalesce(sum(200 * source_size) OVER (ORDER BY source_size * (10 // weight), source NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
+           sum(weight) OVER (ORDER BY source_size * (10 // weight), source NULLS LAST
+               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+    FROM sources
+),
+judged AS (
+    SELECT *, weight * (150 * whole - spent) > 200 * source_size * open AS above FROM filled
+),
+level AS (
+    SELECT 150 * any_value(whole) - coalesce(sum(200 * source_size) FILTER (above), 0) AS rest,
+           sum(weight) FILTER (NOT above) AS open
+    FROM judged
+),
+plan AS (
+    SELECT source, source_size,
+           CASE WHEN above THEN (2 * source_size)::DOUBLE
+                ELSE (weight * rest)::HUGEINT::DOUBLE / (100 * level.open)::HUGEINT::DOUBLE END AS target
+    FROM judged, level
+),
+parted AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size::BIGINT ELSE 0 END AS epochs FROM plan
+),
+drawn AS (
+    SELECT k.doc_id, k.size, p.source_size, p.target, p.epochs,
+           floor(p.target)::BIGINT - p.epochs * p.source_size - coalesce(sum(k.size) OVER (
+               PARTITION BY k.source ORDER BY k.key, k.doc_id NULLS FIRST, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS budget
+    FROM keyed k JOIN parted p ON k.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
+       (epochs * size + greatest(0, least(size, budget)))::BIGINT AS taken
+FROM drawn
+"""
+
+
+def _hashed(text: str) -> str:
+    """The digest of a row with the given expression for its text."""
+    columns = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    parts = [f"coalesce(strlen({c})::VARCHAR || ':' || ({c}), '-')" for c in columns]
+    return f"sha256({' || '.join(parts)})"
+
+
+# the checksum bit by bit, as SQL has no function for it
+_CRC = """xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::UBIGINT)),
+    lambda crc, b: list_reduce(
+        list_prepend(xor(crc, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, step: xor(x >> 1, 3988292384::UBIGINT * (x & 1::UBIGINT)))))"""
+
+_SQL["op13_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+    SELECT row_number() OVER () AS row, doc_id, source, {_hashed("text")} AS leaf,
+           CASE WHEN {_CRC} % 2 = 0 THEN {_hashed("replace(text, chr(10), '')")} ELSE {_hashed("text")} END AS claim
+    FROM documents
+),
+placed AS (
+    SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS pos
+    FROM leaves
+),
+nodes(level, tree, pos, n, digest) AS (
+    SELECT 0, tree, pos, n, leaf FROM placed
+    UNION ALL
+    SELECT level + 1, tree, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM nodes WHERE n > 1 GROUP BY level, tree, pos // 3, n
+),
+upper_nodes(level, pos, n, digest) AS (
+    SELECT 0, tree, (SELECT count(DISTINCT tree) FROM placed), digest FROM nodes WHERE n = 1
+    UNION ALL
+    SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 3, n
+),
+runs AS (
+    SELECT level, tree, pos // 3 AS run, list(digest ORDER BY pos) AS digests FROM nodes WHERE n > 1 GROUP BY ALL
+),
+upper_runs AS (
+    SELECT level, pos // 3 AS run, list(digest ORDER BY pos) AS digests FROM upper_nodes WHERE n > 1 GROUP BY ALL
+),
+climbed(row, level, tree, pos, proof, node) AS (
+    SELECT row, 0, tree, pos, '', claim FROM placed
+    UNION ALL
+    SELECT c.row, c.level + 1, c.tree, c.pos // 3,
+           c.proof || array_to_string(r.digests[1:c.pos % 3], '') || array_to_string(r.digests[c.pos % 3 + 2:], ''),
+           sha256(array_to_string(r.digests[1:c.pos % 3], '') || c.node || array_to_string(r.digests[c.pos % 3 + 2:], ''))
+    FROM climbed c JOIN runs r ON r.level = c.level AND r.tree = c.tree AND r.run = c.pos // 3
+),
+at_subroot AS (
+    SELECT row, tree AS pos, arg_max(proof, level) AS proof, arg_max(node, level) AS node FROM climbed GROUP BY row, tree
+),
+finished(row, level, pos, proof, node) AS (
+    SELECT row, 0, pos, proof, node FROM at_subroot
+    UNION ALL
+    SELECT c.row, c.level + 1, c.pos // 3,
+           c.proof || array_to_string(r.digests[1:c.pos % 3], '') || array_to_string(r.digests[c.pos % 3 + 2:], ''),
+           sha256(array_to_string(r.digests[1:c.pos % 3], '') || c.node || array_to_string(r.digests[c.pos % 3 + 2:], ''))
+    FROM finished c JOIN upper_runs r ON r.level = c.level AND r.run = c.pos // 3
+),
+ends AS (SELECT row, arg_max(proof, level) AS proof, arg_max(node, level) AS node FROM finished GROUP BY row)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, u.digest AS root, sha256(e.proof) AS proof_sha256,
+       e.node AS folded_root, e.node = u.digest AS verified
+FROM placed p JOIN ends e USING (row) JOIN nodes s ON s.tree = p.tree AND s.n = 1
+CROSS JOIN (SELECT digest FROM upper_nodes WHERE n = 1) u
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

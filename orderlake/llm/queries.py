@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import bpe, decontaminate, language, near_dups, nearest, secrets, sharding, substrings, token_counts, urls
+from orderlake.llm import (
+    bpe, decontaminate, divergence, language, manifest, mixing, near_dups, nearest, secrets, sharding, substrings, token_counts, urls,
+)
 from orderlake.llm.staging import ship
 
 SHARDS = 40
 TOKEN_LIMIT = 2048
 QUERY_EVERY = 20
 VOCABULARY = "word_bpe_49k.json"
+#: How much likelier documents labelled good or poor are to be drawn than those without a label.
+QUALITY = {1: 2.0, 0: 0.5}
 # The rules pages are judged by.
 URL_RULES = (
     urls.Rule(urls.ALLOW, "com", "/"),
@@ -113,3 +117,30 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(_table(spark, folder, "documents"), size=2)
+
+
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+@query
+def op12_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    labels = _table(spark, folder, "labels").filter("doc_id IS NOT NULL AND quality IS NOT NULL")
+    # a document labelled twice counts as the better
+    best = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    weight = F.when(F.col("quality") > 0, QUALITY[1]).otherwise(QUALITY[0])
+    return mixing.mix(_table(spark, folder, "documents"), best.select("doc_id", weight.alias("weight")))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    fields = {name: F.col(name) for name in ("doc_id", "source", "lang", "n_chars", "text")}
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    without = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proven = manifest.manifest(_table(spark, folder, "documents"), fields, {"text": without})
+    siblings = F.array_join(F.transform("proof", lambda step: F.concat(step["left"], step["right"])), "")
+    folded = manifest.fold(F.col("claim"), F.col("proof"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
