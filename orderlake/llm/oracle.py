@@ -127,7 +127,7 @@ _CRC = """xor(4294967295::UBIGINT, list_reduce(
 _SQL["op13_merkle_manifest"] = f"""
 WITH RECURSIVE leaves AS (
     SELECT row_number() OVER () AS row, doc_id, source, {_hashed("text")} AS leaf,
-           CASE WHEN {_CRC} % 2 = 0 THEN {_hashed("replace(text, chr(10), '')")} ELSE {_hashed("text")} END AS claim
+           CASE WHEN doc_id IS NOT NULL AND {_CRC} % 2 = 0 THEN {_hashed("replace(text, chr(10), '')")} ELSE {_hashed("text")} END AS claim
     FROM documents
 ),
 placed AS (
