@@ -1,10 +1,14 @@
 """Byte-pair encoding by speculation, and decoding.
 
-Greedy longest match proposes the tokens of all new words of a batch. A sequence of tokens is what merging
-would give exactly if every token can be made at all and no two neighbours could have merged differently
-across their border. The second is tested for all neighbours of the batch at once: both tokens are taken
-apart from the latest merge back, and at each step the two symbols that meet at the border must not have a
-merge that would have come first. Only words that fail are merged one by one.
+Greedy longest match proposes the tokens of all new words of a batch, found by one automaton in one pass. A
+sequence of tokens is what merging would give exactly if every token can be made at all and no two
+neighbours could have merged differently across their border. The second is tested for all neighbours of
+the batch at once: both tokens are taken apart from the latest merge back, and at each step the two symbols
+that meet at the border must not have a merge that would have come first.
+
+A word that fails gets further proposals: from its start, the longest token that fits its predecessor is
+taken; where none fits, the predecessor is shortened to the next token it begins with. Tests of borders are
+remembered. Only words for which that finds nothing are merged one by one.
 """
 
 from __future__ import annotations
@@ -12,7 +16,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
+from operator import itemgetter
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +27,10 @@ from pyspark.sql import functions as F
 
 from orderlake.llm import wordbpe
 
-TEXTS_AT_ONCE = 256
+#: Texts, and bytes of text, whose distinct pieces are encoded together.
+TEXTS_OF_SLICE, SLICE_BYTES = 8192, 1 << 24
+#: Tests of borders that are remembered.
+REMEMBERED = 1 << 19
 
 
 class Proposer:
@@ -46,8 +56,20 @@ class Proposer:
         strings: dict[int, str] = {i: s for s, i in bpe.symbols.items()}
         for left, right, token in bpe.merges:
             strings[token] = strings[left] + strings[right]
-        self._match = {s: i for i, s in strings.items()}
-        self._longest = max(map(len, self._match))
+        self._length = np.zeros(n, np.int64)
+        self._automaton = ahocorasick.Automaton()
+        by_text = {text: token for token, text in strings.items()}
+        for text, token in by_text.items():
+            self._automaton.add_word(text, token)
+            self._length[token] = len(text)
+        self._automaton.make_automaton()
+        self._size = self._length.tolist()
+        # the longest token a token begins with, itself aside
+        self._shorter: list[int | None] = [None] * n
+        for text, token in by_text.items():
+            self._shorter[token] = next((by_text[text[:k]] for k in range(len(text) - 1, 0, -1) if text[:k] in by_text), None)
+        self._usable = self._reachable.tolist()
+        self._fits: dict[int, bool] = {}
 
     def _pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self._n + right
@@ -90,38 +112,135 @@ class Proposer:
                 good = now
         return good
 
-    def propose(self, word: str) -> list[int]:
-        """Longest tokens from the left. The word's end is no token by itself, so it is never left over."""
-        text, at, out = word + wordbpe.END, 0, []
-        n, match = len(word) + 1, self._match
-        while at < n:
-            for end in range(min(n, at + self._longest), at, -1):
-                if end != n - 1 and (token := match.get(text[at:end])) is not None:
-                    out.append(token)
-                    at = end
-                    break
+    def propose(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Longest tokens from the left of all words, and the word each belongs to. The word's end is no token by
+        itself: where it is left over, the proposal lacks it."""
+        ends = np.cumsum([len(word) + 1 for word in words])
+        met = list(self._automaton.iter_long(wordbpe.END.join(words) + wordbpe.END))
+        last, token = (np.fromiter(map(itemgetter(i), met), np.int64, len(met)) for i in (0, 1))
+        return token, np.searchsorted(ends, last, "right")
+
+    def _test(self, left: int, right: int) -> bool:
+        """``compatible`` for one pair, remembered."""
+        if len(self._fits) >= REMEMBERED:
+            self._fits.clear()
+        known = self._fits[left * self._n + right] = self._border(left, right)
+        return known
+
+    def _border(self, left: int, right: int) -> bool:
+        pairs, rank = self._bpe.pairs, self._rank
+        if (left, right) in pairs:
+            return False
+        while True:
+            undo_left, undone = rank[left] > rank[right], max(rank[left], rank[right])
+            if undone < 0:
+                return True
+            if undo_left:
+                left = int(self._right[left])
             else:
-                raise ValueError("a byte is missing from the vocabulary")
-        return out
-
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """Token ids of each word."""
+                right = int(self._left[right])
+            met = pairs.get((left, right))
+            if met is not None and (met[0] < undone if undo_left else met[0] <= undone):
+                return False
+
+    def step_back(self, word: str, fitting: list[int]) -> list[int] | None:
+        """Tokens of which each fits the one before, the longest first, or None if there are none. ``fitting`` are
+        the tokens of the proposal up to the first that does not fit, which is tried before shorter ones."""
+        text, n = word + wordbpe.END, len(word) + 1
+        size, usable, fits, width = self._size, self._usable, self._fits, self._n
+        out = fitting
+        at = sum([size[t] for t in out])
+        dead: set[int] = set()
+        token = self._longest(text, at)
+        while True:
+            while token is not None:
+                end = at + size[token]
+                # the end of the word is no token
+                if end != n - 1 and end not in dead and usable[token]:
+                    if not out:
+                        break
+                    known = fits.get(out[-1] * width + token)
+                    if self._test(out[-1], token) if known is None else known:
+                        break
+                token = self._shorter[token]
+            if token is None:
+                dead.add(at)
+                if not out:
+                    return None
+                at -= size[out[-1]]
+                token = self._shorter[out.pop()]
+                continue
+            out.append(token)
+            at = end
+            if at == n:
+                return out
+            token = self._longest(text, at)
+
+    def _longest(self, text: str, at: int) -> int | None:
+        last, token = next(self._automaton.iter_long(text, at), (-1, None))
+        return token if token is not None and last - self._size[token] + 1 == at else None
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+        """The tokens of all words, the borders between words, and how many words were merged one by one."""
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(1, np.int64), 0
         specials = self._bpe.specials
-        proposed = [[specials[w]] if w in specials else self.propose(w) for w in words]
-        if not proposed:
-            return []
-        lengths = np.array([len(p) for p in proposed])
-        flat = np.fromiter((t for p in proposed for t in p), np.int64, int(lengths.sum()))
-        owner = np.repeat(np.arange(len(words)), lengths)
-        good = np.full(len(words), self._ordered)
-        good[owner[~self._reachable[flat]]] = False
+        flat, owner = self.propose(words)
+        borders = np.searchsorted(owner, np.arange(len(words) + 1))
+        # every character and the end have to be covered, by tokens merging can make
+        covered = np.bincount(owner, self._length[flat], len(words)) == np.array([len(word) + 1 for word in words])
         inner = np.flatnonzero(owner[1:] == owner[:-1])
-        good[owner[inner[~self.compatible(flat[inner], flat[inner + 1])]]] = False
-        for i in np.flatnonzero(~good):
-            if words[i] not in specials:
-                left = wordbpe.merge(self._bpe.initial(words[i]), self._bpe.pairs)[0]
-                proposed[i] = [t for t in left if t >= 0]
-        return proposed
+        apart = inner[~self.compatible(flat[inner], flat[inner + 1])]
+        good = covered & self._ordered
+        good[owner[apart]] = False
+        good[owner[~self._reachable[flat]]] = False
+        good[[i for i, word in enumerate(words) if word in specials]] = False
+        # per failing word how many tokens fit, up to its first failing border
+        fit = np.zeros(len(words), np.int64)
+        failing, first = np.unique(owner[apart], return_index=True)
+        fit[failing] = apart[first] + 1 - borders[failing]
+        fit[owner[~self._reachable[flat]]] = 0
+        failed = np.flatnonzero(~good)
+        tokens, own, merged = flat.tolist(), [], 0
+        for i, begin, n in zip(failed.tolist(), borders[failed].tolist(), fit[failed].tolist()):
+            word = words[i]
+            found = None
+            if word in specials:
+                found = [specials[word]]
+            elif self._ordered:
+                found = self.step_back(word, tokens[begin : begin + n])
+            if found is None:
+                left = wordbpe.merge(self._bpe.initial(word), self._bpe.pairs)[0]
+                found, merged = [t for t in left if t >= 0], merged + 1
+            own.append(found)
+        if not own:
+            return flat, borders, 0
+        # the words that failed take their tokens' places
+        sizes = np.diff(borders)
+        sizes[failed] = [len(found) for found in own]
+        after = np.concatenate([[0], np.cumsum(sizes)])
+        out = np.empty(after[-1], np.int64)
+        right = np.repeat(good, sizes)
+        out[right] = flat[good[owner]]
+        out[~right] = np.fromiter(chain.from_iterable(own), np.int64, int(sizes[failed].sum()))
+        return out, after, merged
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all pieces, and the borders between them."""
+        words, owner = self._bpe.words_of(pieces)
+        kinds = pa.array(words, pa.string()).dictionary_encode()
+        flat, borders, _ = self.encode(kinds.dictionary.to_pylist())
+        which = kinds.indices.to_numpy()
+        tokens, ends = gathered(flat, borders, which)
+        return tokens, ends[np.searchsorted(owner, np.arange(len(pieces) + 1))]
+
+
+def gathered(flat: np.ndarray, borders: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``which`` of an array cut at ``borders``, one after the other, and the borders between them."""
+    sizes = np.diff(borders)[which]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    places = np.repeat(borders[which] - ends[:-1], sizes) + np.arange(ends[-1])
+    return flat[places], ends
 
 
 @cache
@@ -129,47 +248,43 @@ def _proposer(path: str) -> Proposer:
     return Proposer(wordbpe.load(path))
 
 
-def _words(path: str) -> wordbpe.Remembered:
-    """Ids of words. They are remembered for one task: a worker goes on to others, whose memory they would take."""
-    return wordbpe.Remembered(_proposer(path).encode)
-
-
-def _encoded(path: str, new: list[str], words: wordbpe.Remembered | None = None) -> list[list[int]]:
-    """Ids of pieces without white space; ``words`` remembers across calls."""
-    bpe = wordbpe.load(path)
-    cut = [bpe.words(piece) for piece in new]
-    known = (words or _words(path))({word for own in cut for word in own})
-    return [[t for word in own for t in known[word]] for own in cut]
-
-
 def decode(path: str, ids: list[int]) -> str:
     """Tokens of the ids, specials included, joined by blanks: the file names no decoder."""
     return " ".join(map(wordbpe.load(path).tokens.__getitem__, ids))
 
 
-def _pieces(path: str) -> wordbpe.Remembered:
-    """Per piece: the number of its ids, the ids as text, and what they decode to."""
-    words = _words(path)
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts, a bounded number and volume at a time; one longer text comes alone."""
+    ends = np.cumsum(np.asarray(pa.compute.binary_length(texts).fill_null(0), np.int64))
+    first = 0
+    while first < len(texts):
+        done = int(ends[first - 1]) if first else 0
+        last = min(int(np.searchsorted(ends, done + SLICE_BYTES, "right")), first + TEXTS_OF_SLICE)
+        yield texts.slice(first, max(last - first, 1))
+        first = max(last, first + 1)
 
-    def answer(new: list[str]) -> Iterator[tuple[int, str, str]]:
-        return ((len(ids), " ".join(map(str, ids)), decode(path, ids)) for ids in _encoded(path, new, words))
 
-    return wordbpe.Remembered(answer)
+def _split(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The pieces between white space of all texts, and the borders between texts."""
+    if pa.compute.any(pa.compute.match_substring_regex(texts, f"[{wordbpe.SEPARATORS}]")).as_py():
+        lists = pa.array([wordbpe.pieces(text) for text in texts.to_pylist()], pa.list_(pa.string()))
+    else:
+        lists = pa.compute.utf8_split_whitespace(texts.fill_null(""))
+    offsets = lists.offsets.to_numpy()
+    return lists.flatten().dictionary_encode(), offsets - offsets[0]
 
 
 def _encode(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(path)
-        known_pieces = wordbpe.Remembered(lambda new: _encoded(path, new, words))
-        for whole in batches:
-            for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(first, TEXTS_AT_ONCE)
-                cut = [wordbpe.pieces(text) for text in batch.column("text").to_pylist()]
-                known = known_pieces(set().union(*cut))
-                ids = [[t for piece in own for t in known[piece]] for own in cut]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
-                )
+        for batch in batches:
+            first = 0
+            for part in _slices(batch.column("text")):
+                pieces, borders = _split(part)
+                tokens, ends = _proposer(path).encode_pieces(pieces.dictionary.to_pylist())
+                flat, ends = gathered(tokens, ends, pieces.indices.to_numpy())
+                ids = pa.ListArray.from_arrays(pa.array(ends[borders], pa.int32()), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(part)), ids], ["doc_id", "ids"])
+                first += len(part)
 
     return run
 
@@ -183,25 +298,32 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return plain.mapInArrow(_encode(path), "doc_id bigint, ids array<int>")
 
 
+def _joined(parts: pa.Array, borders: np.ndarray) -> pa.Array:
+    return pa.compute.binary_join(pa.ListArray.from_arrays(pa.array(borders, pa.int32()), parts), " ")
+
+
 def _digest(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_pieces = _pieces(path)
-        for whole in batches:
-            for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(first, TEXTS_AT_ONCE)
-                cut = [wordbpe.pieces(text) for text in batch.column("text").to_pylist()]
-                known = known_pieces(set().union(*cut))
-                counts, ids, decoded = [], [], []
-                for own in cut:
-                    # a piece may have no token; it leaves no blank behind
-                    parts = [p for p in map(known.__getitem__, own) if p[0]]
-                    counts.append(sum([p[0] for p in parts]))
-                    ids.append(hashlib.sha256(" ".join([p[1] for p in parts]).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(" ".join([p[2] for p in parts]).encode()).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        names = wordbpe.load(path).tokens
+        spelled = [pa.array([spell(i) for i in range(max(names) + 1)], pa.string()) for spell in (str, lambda i: names.get(i, ""))]
+        for batch in batches:
+            first = 0
+            for part in _slices(batch.column("text")):
+                pieces, borders = _split(part)
+                tokens, ends = _proposer(path).encode_pieces(pieces.dictionary.to_pylist())
+                # a piece may have no token; it leaves no blank behind
+                indices, sizes = pieces.indices.to_numpy(), np.diff(ends)
+                some = sizes[indices] > 0
+                kept = np.concatenate([[0], np.cumsum(some)])[borders]
+                counts = np.concatenate([[0], np.cumsum(sizes[indices])])[borders]
+                columns = []
+                for spelling in spelled:
+                    of_piece = _joined(spelling.take(pa.array(tokens)), ends)
+                    texts = _joined(of_piece.take(pa.array(indices[some])), kept)
+                    columns.append(pa.array([hashlib.sha256(t).hexdigest() for t in texts.cast(pa.binary()).to_pylist()], pa.string()))
+                numbers = batch.column("doc_id").slice(first, len(part))
+                yield pa.RecordBatch.from_arrays([numbers, pa.array(np.diff(counts)), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                first += len(part)
 
     return run
 

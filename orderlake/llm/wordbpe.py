@@ -13,6 +13,7 @@ from functools import cache
 from heapq import heapify, heappop, heappush
 from pathlib import Path
 
+import numpy as np
 from tokenizers import Tokenizer
 
 #: Distinct pieces and words a task or worker remembers; beyond that it starts anew.
@@ -24,8 +25,9 @@ END = "\ue000"
 BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(f"[^{BLANKS}]+")
 _ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_ASCII_LINE = re.compile(_ASCII_WORD.pattern + "|\n")
 #: Control characters that Python takes for blanks and the file does not.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 class WordBpe:
@@ -67,6 +69,39 @@ class WordBpe:
                 found += [word for word, _ in self._cut(self._normalise(part))]
         return found
 
+    def words_of(self, pieces: list[str]) -> tuple[list[str], np.ndarray]:
+        """The words of many pieces, and the piece each belongs to, in order; the patterns run over all pieces at
+        once."""
+        plain, rest, apart = [], [], []
+        for i, piece in enumerate(pieces):
+            if piece.isascii() and piece.isprintable() and "<|" not in piece:
+                plain.append(i)
+            else:
+                (apart if "<|" in piece else rest).append(i)
+        lines = _ASCII_LINE.findall("\n".join([pieces[i] for i in plain]).lower())
+        borders = np.array([word == "\n" for word in lines], bool)
+        owner = np.array(plain, np.int64)[np.cumsum(borders)] if lines else np.zeros(0, np.int64)
+        words, owners = [word for word in lines if word != "\n"], [owner[~borders]]
+        # white space is normalised to blanks, and no piece holds any
+        normal = self._normalise(" ".join([pieces[i] for i in rest]))
+        ends = np.cumsum([len(part) + 1 for part in normal.split(" ")])
+        if len(ends) == len(rest):
+            cut = self._cut(normal)
+            starts = np.array([start for _, (start, _) in cut], np.int64)
+            words += [word for word, _ in cut]
+            owners.append(np.array(rest, np.int64)[np.searchsorted(ends, starts, "right")])
+        else:
+            apart += rest
+        for i in apart:
+            own = self.words(pieces[i])
+            words += own
+            owners.append(np.full(len(own), i))
+        owner = np.concatenate(owners)
+        if (np.diff(owner) < 0).any():
+            order = np.argsort(owner, kind="stable")
+            words, owner = [words[i] for i in order.tolist()], owner[order]
+        return words, owner
+
     def initial(self, word: str) -> list[int]:
         """The symbols a word is merged from, one per byte, the last with the word's end."""
         return [*map(self.symbols.__getitem__, word[:-1]), self.symbols[word[-1] + END]]
@@ -81,7 +116,7 @@ def pieces(text: str | None) -> list[str]:
     """A text cut at white space."""
     if not text:
         return []
-    return _PIECE.findall(text) if _SEPARATORS.search(text) else text.split()
+    return _PIECE.findall(text) if any(c in text for c in SEPARATORS) else text.split()
 
 
 class Remembered:
