@@ -36,7 +36,8 @@ BLOCK_BITS = 20
 #: Anchors, and candidate windows, held before a task hands on what it has counted.
 HELD_ANCHORS, HELD_WINDOWS = 1 << 22, 1 << 20
 
-DOC = ["doc_id", "digest"]
+#: The key of a row: 128 bits of hash over its id and text. Rows that share it are equal.
+DOC = ["doc", "digest"]
 
 
 class _Hasher:
@@ -80,7 +81,8 @@ class _Hasher:
 
 def cells(values: np.ndarray, row: int) -> np.ndarray:
     """The cell of each value in one row of the sketch."""
-    return (W.mix(values + np.uint64(row + 1) * W.BYTE_BASE) >> np.uint64(64 - CELL_BITS)).astype(np.uint32)
+    shift = np.uint64((row + 1) * int(W.BYTE_BASE) % (1 << 64))
+    return (W.mix(values + shift) >> np.uint64(64 - CELL_BITS)).astype(np.uint32)
 
 
 _SKETCH = "block int, once binary, often binary"
@@ -155,7 +157,7 @@ def _estimated_twice(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-_WINDOWS = "w1 bigint, w2 int, doc_id bigint, digest int, start int, n int, times int"
+_WINDOWS = "w1 bigint, w2 int, doc bigint, digest bigint, start int, n int, times int"
 
 
 def _ranges(text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +166,7 @@ def _ranges(text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return new, np.diff(np.append(new, len(start)))
 
 
-def _grouped(held: list[tuple], ids: list[pa.Array], digests: list[pa.Array]) -> pa.RecordBatch:
+def _grouped(held: list[tuple], docs: list[pa.Array], digests: list[pa.Array]) -> pa.RecordBatch:
     """One row per kind of window held, with two for its times if it occurs more than once, and rows with
     hashes of their own for the ranges its other occurrences make up."""
     one, two, text, start = (np.concatenate(part) for part in zip(*held))
@@ -182,34 +184,34 @@ def _grouped(held: list[tuple], ids: list[pa.Array], digests: list[pa.Array]) ->
         [
             pa.array(np.concatenate([one[kept], own.view(np.int64)])),
             pa.array(two[rows]),
-            pa.concat_arrays(ids).take(place),
+            pa.concat_arrays(docs).take(place),
             pa.concat_arrays(digests).take(place),
             pa.array(start[rows].astype(np.int32)),
             pa.array(np.concatenate([np.ones(len(kept)), n]).astype(np.int32)),
             pa.array(np.concatenate([times, np.full(len(first), 2)]).astype(np.int32)),
         ],
-        ["w1", "w2", "doc_id", "digest", "start", "n", "times"],
+        ["w1", "w2", *DOC, "start", "n", "times"],
     )
 
 
 def _candidates(window: int, gram: int, shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bits = _Hasher(window, gram), shared.value
-        held, ids, digests, n_held, n_texts = [], [], [], 0, 0
+        held, docs, digests, n_held, n_texts = [], [], [], 0, 0
         for batch in batches:
             for words in hasher.slices(batch.column("text")):
                 starts, anchors, _ = hasher.anchors(words)
                 starts = starts[_estimated_twice(bits, anchors)]
                 text = words.text_of[starts]
                 held.append((*hasher.both(words, starts, starts + window), text + n_texts, starts - words.borders[text]))
-                ids.append(batch.column("doc_id").slice(words.first, words.n_texts))
+                docs.append(batch.column("doc").slice(words.first, words.n_texts))
                 digests.append(batch.column("digest").slice(words.first, words.n_texts))
                 n_held, n_texts = n_held + len(starts), n_texts + words.n_texts
                 if n_held >= HELD_WINDOWS:
-                    yield _grouped(held, ids, digests)
-                    held, ids, digests, n_held, n_texts = [], [], [], 0, 0
+                    yield _grouped(held, docs, digests)
+                    held, docs, digests, n_held, n_texts = [], [], [], 0, 0
         if n_held:
-            yield _grouped(held, ids, digests)
+            yield _grouped(held, docs, digests)
 
     return run
 
@@ -251,12 +253,12 @@ def remove_repeats(
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(repeated_cells(plain.select("text"), window, gram))
-    keyed = plain.withColumn("digest", F.hash("doc_id", "text"))
-    candidates = keyed.mapInArrow(_candidates(window, gram, shared), _WINDOWS)
+    keyed = plain.withColumns({"doc": F.xxhash64("doc_id", "text"), "digest": F.xxhash64(F.lit(WINDOW), "text", "doc_id")})
+    candidates = keyed.select("text", *DOC).mapInArrow(_candidates(window, gram, shared), _WINDOWS)
     total = F.sum("times").over(Window.partitionBy("w1", "w2"))
     repeated = candidates.withColumn("times", total).filter("times > 1")
     packed = F.shiftleft(F.col("start").cast("bigint"), 32) + F.col("n")
     ranges = repeated.groupBy(*DOC).agg(F.collect_set(packed).alias("ranges"))
-    return join_unique(keyed, ranges, DOC, "left", null_safe=True).select("doc_id", "text", "ranges").mapInArrow(
+    return join_unique(keyed, ranges, DOC, "left").select("doc_id", "text", "ranges").mapInArrow(
         _finish(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     )
