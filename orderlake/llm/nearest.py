@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.llm.staging import staged
+
 #: Neighbours per query; vectors and queries handled at once.
 NEAREST = 20
 SHARD, BLOCK = 4096, 2048
@@ -197,31 +199,56 @@ def nearest_neighbours(
     component take no part, nor do rows without id and vectors of another length than the most frequent one
     of the sample. Repeated rows of one id and vector count once in a result, and an id with several vectors
     once, with its best score. Other columns are not read.
-    The search is approximate: a true neighbour farther than the learned radius in code bits is missed.
+    The search is approximate: a true neighbour farther than the learned radius in code bits is missed. Every
+    query has ``nearest`` neighbours, or all candidates if there are fewer: those with fewer within the radius
+    are searched again with a radius of all bits, which is exact.
     """
     spark = vectors.sparkSession
     whole = usable(vectors, id_col, vector_col)
-    sample = whole.withColumn("h", F.xxhash64("vec_id")).orderBy("h", "vec_id").limit(SAMPLE).select("v").collect()
     schema = "query_id bigint, rank int, vec_id bigint, score double"
+    sample = _sample(whole)
     if not sample:
         return spark.createDataFrame([], schema)
-    lengths = [len(row.v) for row in sample]
+    lengths = [len(v) for v in sample]
     length = max(set(lengths), key=lambda n: (lengths.count(n), n))
-    fitted = np.array([row.v for row in sample if len(row.v) == length])
+    fitted = np.array([v for v in sample if len(v) == length])
     turn = learn(fitted, ROTATIONS, ROUNDS)
-    within = radius(fitted, turn, nearest)
 
     whole = whole.filter(F.size("v") == length)
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows, ids = whole.agg(F.count(F.lit(1)), F.count_distinct("vec_id")).first()
+    # a shard is one stretch of the index; every query is sent to each
+    shards = shards or max(1, -(-rows // SHARD))
     blob = "number bigint, ids binary, flat binary"
     index = whole.mapInArrow(_blobs(SHARD), blob).withColumn("at", F.pmod(F.xxhash64("ids"), F.lit(shards)))
-    blocks = whole.filter(_is_query(every)).repartition(max(1, shards // 4)).mapInArrow(_blobs(BLOCK), blob)
     everywhere = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint")))
-    blocks = blocks.select(F.col("ids").alias("q_ids"), F.col("flat").alias("q_flat"), everywhere.alias("at"))
-    met = index.join(blocks, "at").select("ids", "flat", "q_ids", "q_flat").mapInArrow(
-        _search(turn, within, nearest), "query_id bigint, vec_id bigint, score double"
-    )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    others = met.filter("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = others.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= nearest)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    def search(queries: DataFrame, within: int) -> DataFrame:
+        blocks = queries.mapInArrow(_blobs(BLOCK), blob)
+        blocks = blocks.select(F.col("ids").alias("q_ids"), F.col("flat").alias("q_flat"), everywhere.alias("at"))
+        # a merge join streams its left side, so a shard meets all its blocks before the next is built
+        met = index.join(blocks.hint("merge"), "at").select("ids", "flat", "q_ids", "q_flat").mapInArrow(
+            _search(turn, within, nearest), "query_id bigint, vec_id bigint, score double"
+        )
+        others = met.filter("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        ranked = others.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= nearest)
+        return ranked.select("query_id", "rank", "vec_id", "score")
+
+    queries = whole.filter(_is_query(every)).repartition(max(1, -(-rows // (every * BLOCK))))
+    found = staged(search(queries, radius(fitted, turn, nearest)), "nearest")
+    have = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    asked = queries.select(F.col("vec_id").alias("query_id")).distinct()
+    wanted = F.lit(min(nearest, ids - 1))
+    short = staged(asked.join(have, "query_id", "left").filter(F.coalesce("n", F.lit(0)) < wanted).select("query_id"), "short")
+    if short.isEmpty():
+        return found
+    again = search(queries.join(short, F.col("vec_id") == F.col("query_id"), "left_semi"), turn.shape[1])
+    return found.join(short, "query_id", "left_anti").unionByName(again)
+
+
+def _sample(whole: DataFrame) -> list[list[float]]:
+    """``SAMPLE`` distinct vectors, those of the smallest hashes. Only hashes are shuffled to find them."""
+    hashed = whole.withColumn("h", F.xxhash64("v"))
+    chosen = hashed.select("h").distinct().orderBy("h").limit(SAMPLE)
+    rows = hashed.join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("v").alias("v")).orderBy("h").collect()
+    return [row.v for row in rows]
