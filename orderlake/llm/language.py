@@ -23,6 +23,8 @@ LENGTH = 256
 WIDTHS, FILTERS = (2, 3, 4), 16
 #: Bound of the training sample: distinct texts per language, windows of each, and languages.
 TEXTS_PER_LANGUAGE, WINDOWS_PER_TEXT, MOST_LANGUAGES = 400, 4, 200
+#: Parts a language's texts are ranked in before they are ranked together.
+SAMPLE_PARTS = 64
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 #: Windows predicted together.
 WINDOWS_AT_ONCE = 256
@@ -146,8 +148,12 @@ def sample(docs: DataFrame) -> DataFrame:
     usable = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out())
     usable = usable.withColumn("digest", F.xxhash64("text")).filter(F.octet_length("text") > 0)
     one_each = usable.groupBy("lang", "digest").agg(F.min("doc_id").alias("doc_id"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("digest", "doc_id"))
-    chosen = one_each.withColumn("rank", rank).filter(F.col("rank") <= TEXTS_PER_LANGUAGE).drop("rank")
+    # the smallest of each part of a language first, so that no task ranks all texts of one
+    chosen = one_each.withColumn("part", F.pmod("digest", F.lit(SAMPLE_PARTS)))
+    for group in (["lang", "part"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy("digest", "doc_id"))
+        chosen = chosen.withColumn("rank", rank).filter(F.col("rank") <= TEXTS_PER_LANGUAGE)
+    chosen = chosen.drop("rank", "part")
     texts = usable.join(chosen, ["lang", "digest", "doc_id"]).dropDuplicates(["lang", "digest", "doc_id"])
     number = F.explode(F.sequence(F.lit(1), F.lit(WINDOWS_PER_TEXT)))
     places = F.greatest(F.octet_length("text") - LENGTH + 1, F.lit(1))
@@ -234,9 +240,21 @@ def identify(
     return plain.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: ByteCnn | None, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is in a learned language with a score of ``least`` or
-    more. Rows are judged where they are; nothing is joined."""
+def least_score(model: ByteCnn, lift: float) -> float:
+    """The score that lies ``lift`` of the way from chance, which depends on the number of languages, to
+    certainty. With one language every text with a letter is in it."""
+    chance = 1 / len(model.classes)
+    return 0.0 if len(model.classes) == 1 else chance + lift * (1 - chance)
+
+
+def keep_known(docs: DataFrame, model: ByteCnn | None, lift: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in a learned language with at least ``least_score``.
+    Rows are judged where they are; nothing is joined. Null texts and texts without a letter are in none and
+    go; repeated rows are judged alike. Without a model, as no text is labelled, nothing can be said and all
+    rows stay."""
+    if model is None:
+        return docs
+    least = least_score(model, lift)
     shared = _shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
