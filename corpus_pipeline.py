@@ -15,38 +15,54 @@ from orderlake.llm.queries import VOCABULARY
 from orderlake.llm.staging import ship, staged
 from orderlake.operators.joins import join_unique
 
-#: Documents whose best language has a lower score are taken for none of the learned ones.
-LEAST_SCORE = 0.3
+#: Columns added to rows while near-duplicates are sought.
+KEY, OTHER = "_row_key", "_other_key"
+#: How far from chance to certainty the score of a document's best language has to lie.
+LEAST_LIFT = 0.067
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages. Those without a letter or far from all languages go."""
+    """Documents in one of the learned languages. Those without a letter, null and empty texts among them, or far
+    from all languages go. Without any labelled text nothing is known of languages, and all rows stay."""
     ship(spark)
-    return language.keep_known(docs, language.fit(docs), LEAST_SCORE)
+    return language.keep_known(docs, language.fit(docs), LEAST_LIFT)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; of rows with one id, one. Rows without an id stay."""
+    """One document of each group of near-duplicates, that of the smallest doc_id; of equal rows one.
+
+    Rows are linked under a key of their own, a hash of all columns, whatever their ids: rows that share or lack
+    an id are documents like others. Rows without text are linked with nothing but equal rows. A second
+    hash keeps unlike rows apart should they share the first.
+    """
     ship(spark)
-    kept = near_dups.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    chosen = join_unique(docs, kept, ["doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    return chosen.select(docs.columns).union(docs.filter(F.col("doc_id").isNull()))
+    columns = docs.columns
+    keyed = docs.withColumns({KEY: F.xxhash64(*columns), OTHER: F.xxhash64(F.lit(KEY), *reversed(columns))})
+    groups = near_dups.near_duplicates(keyed.select(F.col(KEY).alias("doc_id"), "text")).select("doc_id", "component_id").distinct()
+    ids = keyed.select(F.col(KEY).alias("doc_id"), F.col("doc_id").alias("own")).distinct()
+    first = F.min(F.struct(F.col("own").isNull(), "own", "doc_id"))
+    chosen = join_unique(ids, groups, ["doc_id"], "inner").groupBy("component_id").agg(first.alias("first"))
+    kept = chosen.select(F.col("first.doc_id").alias(KEY))
+    return join_unique(keyed, kept, [KEY], "left_semi").dropDuplicates([KEY, OTHER]).select(columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark. Null and empty texts have no passage and stay, items without
+    words match nothing, repeated rows are judged alike."""
     ship(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by a mark and the characters of these counted anew."""
+    """All documents, with secrets replaced by a mark and the characters of these counted anew. Null texts stay
+    null, texts without a secret and their counts are not touched."""
     marked = F.contains("text", F.lit(secrets.REDACTED))
     return secrets.redact(docs).withColumn("n_chars", F.when(marked, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of the ids and of what they decode to."""
+    """Token ids of every document, with digests of the ids and of what they decode to. Null texts count as empty,
+    repeated rows are separate."""
     ship(spark)
     return bpe.round_trip(docs, public_tokenizers.path(VOCABULARY))
 
