@@ -7,13 +7,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.functions.columns import as_date
-from orderlake.functions.lineage import cut_lineage
+from orderlake.operators.asof import last_known
 from orderlake.operators.joins import join_unique, present
-from orderlake.operators.ranking import tile, tile_starts
+from orderlake.operators.ranking import Edge, Order, tile, tile_edges, tile_number
 
 # Tiers of the highest and lowest spend quintile, of all others, and of a customer not yet
 # seen; the number of tiles; the days without an order after which a customer is gone.
@@ -53,13 +53,13 @@ def latest_value(daily: DataFrame, refund_safe: bool = False) -> DataFrame:
     return daily.groupBy("USER_ID").agg(value.alias("LATEST_LTV"))
 
 
-def _spending_order() -> list[Column]:
-    return [F.asc_nulls_first("LATEST_LTV"), F.asc("USER_ID")]
+#: Customers by lifetime value, ties by ``USER_ID``.
+SPENDING = Order("LATEST_LTV", "USER_ID")
 
 
 def customer_quintile(daily: DataFrame, refund_safe: bool = False) -> DataFrame:
     """Spend quintile over all customers, 5 for the top spenders; ties go by ``USER_ID``."""
-    return tile(latest_value(daily, refund_safe), TILES, _spending_order(), "QUINTILE")
+    return tile(latest_value(daily, refund_safe), TILES, SPENDING, "QUINTILE")
 
 
 def tier(quintile: str = "QUINTILE") -> Column:
@@ -79,28 +79,22 @@ def customer_value(lines: DataFrame) -> DataFrame:
 
     Each daily row carries its customer's lifetime value, which shares the partitioning of the running
     total. Where the tiles begin is at most four customers, and comparing with those tags the rows in
-    place: neither tiers nor daily rows are shuffled for a join. The daily rows are kept meanwhile.
+    place: neither tiers nor daily rows are shuffled for a join.
     """
-    whole = Window.partitionBy("USER_ID")
-    daily = cut_lineage(
-        daily_spend(lines).withColumn("LATEST_LTV", F.max("RUNNING_LTV").over(whole))
-    )
-    starts = tile_starts(latest_value(daily), TILES, _spending_order())
-    quintile = F.lit(1)
-    for start in starts:
-        quintile = quintile + _not_before(start).cast("int")
-    tagged = daily.withColumn("QUINTILE", quintile).withColumn("CLV_TAG", tier())
-    return tagged.drop("LATEST_LTV", "QUINTILE")
+    daily = daily_spend(lines)
+    (edges,) = tile_edges(latest_value(daily), TILES, [SPENDING])
+    return tagged(with_latest(daily), edges)
+
+
+def with_latest(daily: DataFrame) -> DataFrame:
+    """Daily rows with ``LATEST_LTV``, the lifetime value of their customer."""
+    return daily.withColumn("LATEST_LTV", F.max("RUNNING_LTV").over(Window.partitionBy("USER_ID")))
 
 
-def _not_before(start: Row) -> Column:
-    """The row's (lifetime value, customer) is that of ``start`` or comes after; nulls come first."""
-    value, user = F.col("LATEST_LTV"), F.col("USER_ID")
-    if start.LATEST_LTV is None:
-        return value.isNotNull() | (user >= start.USER_ID)
-    edge = F.lit(start.LATEST_LTV)
-    later = (value > edge) | ((value == edge) & (user >= start.USER_ID))
-    return F.coalesce(later, F.lit(False))
+def tagged(valued: DataFrame, edges: list[Edge]) -> DataFrame:
+    """Rows that carry ``LATEST_LTV`` with the tier in its place, given where the tiles begin."""
+    quintile = valued.withColumn("QUINTILE", tile_number(edges, SPENDING))
+    return quintile.withColumn("CLV_TAG", tier()).drop("LATEST_LTV", "QUINTILE")
 
 
 def line_running_value(lines: DataFrame) -> DataFrame:
@@ -139,13 +133,12 @@ def rfm_scores(scores: DataFrame) -> DataFrame:
     """Quintiles of recency, frequency and value, 5 being the best; ties go by ``USER_ID``.
     Such segments have no common definition; equal fifths per measure is the one chosen here."""
     orders = {
-        "R_SCORE": F.desc("RECENCY"),
-        "F_SCORE": F.asc("FREQUENCY"),
-        "M_SCORE": F.asc_nulls_first("MONETARY"),
+        "R_SCORE": Order("RECENCY", "USER_ID", descending=True),
+        "F_SCORE": Order("FREQUENCY", "USER_ID"),
+        "M_SCORE": Order("MONETARY", "USER_ID"),
     }
-    for name, order in orders.items():
-        scores = tile(scores, TILES, [order, F.asc("USER_ID")], name)
-    return scores
+    edges = tile_edges(scores, TILES, [*orders.values()])
+    return scores.withColumns({name: tile_number(e, order) for (name, order), e in zip(orders.items(), edges)})
 
 
 def value_as_of(daily: DataFrame, *days: str | dt.date) -> DataFrame:
@@ -167,31 +160,33 @@ def value_as_of(daily: DataFrame, *days: str | dt.date) -> DataFrame:
     )
 
 
-def tier_migration(daily: DataFrame, before: str | dt.date, after: str | dt.date) -> DataFrame:
-    """Customers by tier on two days; ``New`` where a customer had no order yet."""
-    tags = {"FROM_TAG": as_date(before), "TO_TAG": as_date(after)}
-    until = {name: F.col("SNAPSHOT_DATE") <= F.lit(day) for name, day in tags.items()}
-    # the values on both days in one pass, kept for the two rankings
-    values = cut_lineage(
-        daily.groupBy("USER_ID").agg(
-            *[F.max(F.when(past, F.col("RUNNING_LTV"))).alias(f"LTV_{n}") for n, past in until.items()],
-            *[F.bool_or(past).alias(f"IN_{n}") for n, past in until.items()],
-        )
-    )
+def value_at(daily: DataFrame, points: DataFrame) -> DataFrame:
+    """``points`` (``USER_ID``, ``AS_OF`` and others) with ``VALUE``, the lifetime value on that day, carried
+    forward from the last order before it; null before the first."""
+    history = daily.select("USER_ID", "SNAPSHOT_DATE", F.col("RUNNING_LTV").alias("VALUE"))
+    return last_known(points, history, ["USER_ID"], "AS_OF", "SNAPSHOT_DATE", ["VALUE"])
 
-    def tiers(name: str) -> DataFrame:
-        value = f"LTV_{name}"
-        present = values.filter(f"IN_{name}").select("USER_ID", value)
-        tiled = tile(present, TILES, [F.asc_nulls_first(value), F.asc("USER_ID")], "QUINTILE")
-        return tiled.select("USER_ID", tier().alias(name))
 
-    return (
-        tiers("FROM_TAG")
-        .join(tiers("TO_TAG"), "USER_ID", "full")
-        .fillna(NEW, list(tags))
-        .groupBy("FROM_TAG", "TO_TAG")
-        .agg(F.count(F.lit(1)).alias("CUSTOMERS"))
+def tags_on(daily: DataFrame, days: dict[str, str | dt.date]) -> DataFrame:
+    """Per customer the tier on each of the days, in columns named by ``days``; null before the first order.
+    One pass finds the values of all days; the tiers are then set by comparing, in place."""
+    until = {name: F.col("SNAPSHOT_DATE") <= F.lit(as_date(day)) for name, day in days.items()}
+    values = daily.groupBy("USER_ID").agg(
+        *[F.max(F.when(past, F.col("RUNNING_LTV"))).alias(f"LTV_{n}") for n, past in until.items()],
+        *[F.coalesce(F.bool_or(past), F.lit(False)).alias(f"IN_{n}") for n, past in until.items()],
     )
+    orders = {name: Order(f"LTV_{name}", "USER_ID", among=f"IN_{name}") for name in days}
+    edges = tile_edges(values, TILES, [*orders.values()])
+    tiles = {f"TILE_{name}": tile_number(e, order) for (name, order), e in zip(orders.items(), edges)}
+    tags = [F.when(F.col(f"IN_{name}"), tier(f"TILE_{name}")).alias(name) for name in days]
+    return values.withColumns(tiles).select("USER_ID", *tags)
+
+
+def tier_migration(daily: DataFrame, before: str | dt.date, after: str | dt.date) -> DataFrame:
+    """Customers by tier on two days; ``New`` where a customer had no order yet."""
+    tags = {"FROM_TAG": before, "TO_TAG": after}
+    seen = tags_on(daily, tags).filter(" OR ".join(f"{name} IS NOT NULL" for name in tags))
+    return seen.fillna(NEW, [*tags]).groupBy(*tags).agg(F.count(F.lit(1)).alias("CUSTOMERS"))
 
 
 def order_gaps(lines: DataFrame, reference_date: str | dt.date) -> DataFrame:

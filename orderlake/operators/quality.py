@@ -14,6 +14,8 @@ from orderlake.schemas import LINE_KEY, REQUIRED_ITEM_COLUMNS
 # Fixed value: the reason given to an option without a valid line.
 ORPHAN_REASON = "ORPHAN_OPTION_NO_MATCHING_ORDER"
 REASON = "REJECT_REASON"
+# the column that holds a line no row could be made of
+UNREADABLE = "UNREADABLE"
 
 
 def missing(columns: list[str]) -> dict[str, Column]:

@@ -97,6 +97,7 @@ _REVENUE = _money("sum(LINE_REVENUE)", "TOTAL_REVENUE")
 _ORDERS = "count(DISTINCT ORDER_ID) AS NUM_ORDERS"
 _WATERMARK = "TIMESTAMP '2001-01-01 00:00:00'"
 _STAMP = "strftime(CREATION_TIME_UTC, '%Y-%m-%dT%H:%M:%S.%f') AS CREATION_TIME_UTC"
+_RUNS = ("2000-03-31", "2000-06-30", "2000-09-30", "2000-12-31")
 _TIER = "CASE WHEN QUINTILE = 5 THEN 'High' WHEN QUINTILE = 1 THEN 'Low' ELSE 'Med' END"
 
 # The columns of the three source tables.
@@ -232,8 +233,23 @@ _QUERIES = {
           CAST(ntile(5) OVER (ORDER BY MONETARY NULLS FIRST, USER_ID) AS INT) AS M_SCORE FROM scores""",
     "clv_as_of": f"SELECT USER_ID, VALUE FROM ({_as_of('1998-06-30')}) x",
     "clv_as_of_days": " UNION ALL ".join(
-        _as_of(day) for day in ("2000-03-31", "2000-06-30", "2000-09-30", "2000-12-31")
+        _as_of(day) for day in _RUNS
     ),
+    "clv_as_of_points": f"""SELECT p.ORDER_ID, p.USER_ID, p.AS_OF, {_money('d.RUNNING_LTV', 'VALUE')}
+        FROM (SELECT concat('O', CAST(o_orderkey AS VARCHAR)) AS ORDER_ID, concat('U', CAST(o_custkey AS VARCHAR)) AS USER_ID,
+            CAST(o_orderdate AS DATE) + CAST(o_orderkey % 61 - 45 AS INT) AS AS_OF FROM orders) p
+          ASOF LEFT JOIN daily d ON p.USER_ID = d.USER_ID AND p.AS_OF >= d.SNAPSHOT_DATE""",
+    "clv_tag_history": f"""
+        SELECT USER_ID, tag AS CLV_TAG, d AS VALID_FROM, upto AS VALID_TO
+        FROM (SELECT *, lead(d) OVER (PARTITION BY USER_ID ORDER BY d) AS upto
+          FROM (SELECT *, lag(tag) OVER (PARTITION BY USER_ID ORDER BY d) AS earlier
+            FROM (SELECT c.USER_ID, r.d, t.tag
+              FROM (SELECT DISTINCT USER_ID FROM daily) c
+                CROSS JOIN (VALUES {', '.join(f"(DATE '{day}')" for day in _RUNS)}) r(d)
+                LEFT JOIN ({' UNION ALL '.join(f"SELECT DATE '{day}' AS d, x.* FROM {_tiers(day)} x" for day in _RUNS)}) t
+                  ON t.USER_ID = c.USER_ID AND t.d = r.d) runs) changes
+          WHERE tag IS DISTINCT FROM earlier) tagged
+        WHERE tag IS NOT NULL""",
     "clv_latest_refund_safe": f"""SELECT USER_ID, {_money('arg_max(RUNNING_LTV, SNAPSHOT_DATE)', 'LATEST_LTV')}
         FROM daily GROUP BY USER_ID""",
     "clv_tag_migration": f"""SELECT coalesce(a.tag, 'New') AS FROM_TAG, coalesce(b.tag, 'New') AS TO_TAG,

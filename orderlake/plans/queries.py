@@ -6,11 +6,11 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.columns import watermark_text
-from orderlake.operators import customers, enrich, incremental, profile, quality, sales
+from orderlake.operators import customers, enrich, history, incremental, profile, quality, sales
 from orderlake.plans import views
 from orderlake.schemas import LINE_KEY
 
@@ -50,6 +50,10 @@ class Tables:
     def date_dim(self) -> DataFrame:
         return views.date_dim(self._star)
 
+    @cached_property
+    def as_of_points(self) -> DataFrame:
+        return views.as_of_points(self._star)
+
     @cached_property
     def calendar(self) -> DataFrame:
         return enrich.parse_calendar(self.date_dim)
@@ -157,9 +161,14 @@ def lines_without_options(t: Tables) -> DataFrame:
     return quality.lines_without_options(t.valid, t.options).select(*LINE_KEY)
 
 
+def _order_number() -> Column:
+    """The number in an order's id, after its first letter."""
+    return F.substring("ORDER_ID", 2, 20).cast("bigint")
+
+
 def _with_gaps(options: DataFrame) -> DataFrame:
     """Options of which some lack a price, some a quantity, and some have a negative price."""
-    order = F.regexp_extract("ORDER_ID", r"\d+", 0).cast("bigint")
+    order = _order_number()
     price = F.when(order % 23 == 0, F.lit(None)).when(order % 29 == 0, -F.col("OPTION_PRICE")).otherwise(F.col("OPTION_PRICE"))
     return options.withColumns(
         {
@@ -181,7 +190,7 @@ def nonempty_keys(t: Tables) -> DataFrame:
 
 def _as_text(t: Tables) -> DataFrame:
     """Lines as a raw file holds them, with some values that do not fit their type."""
-    order = F.regexp_extract("ORDER_ID", r"\d+", 0).cast("bigint")
+    order = _order_number()
     price, quantity = (F.col(c).cast("string") for c in ("ITEM_PRICE", "ITEM_QUANTITY"))
     created = F.date_format("CREATION_TIME_UTC", "yyyy-MM-dd HH:mm:ss")
     return t.items.select(
@@ -335,6 +344,11 @@ def clv_as_of_days(t: Tables) -> DataFrame:
     return customers.value_as_of(customers.daily_spend(t.silver), *MONTH_ENDS)
 
 
+@query
+def clv_as_of_points(t: Tables) -> DataFrame:
+    return customers.value_at(customers.daily_spend(t.silver), t.as_of_points)
+
+
 @query
 def clv_latest_refund_safe(t: Tables) -> DataFrame:
     return customers.latest_value(customers.daily_spend(t.silver), refund_safe=True)
@@ -345,6 +359,12 @@ def clv_tag_migration(t: Tables) -> DataFrame:
     return customers.tier_migration(customers.daily_spend(t.silver), AS_OF, AS_OF_LATER)
 
 
+@query
+def clv_tag_history(t: Tables) -> DataFrame:
+    runs = {f"run_{i}": day for i, day in enumerate(MONTH_ENDS)}
+    return history.intervals(customers.tags_on(customers.daily_spend(t.silver), runs), runs)
+
+
 @query
 def order_gaps(t: Tables) -> DataFrame:
     return customers.order_gaps(t.silver, REFERENCE_DATE)

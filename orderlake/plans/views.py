@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # One in so many orders is a guest's, lacks its line key, or has orphaned options.
 GUEST_EVERY, CORRUPT_EVERY, ORPHAN_EVERY = 11, 1009, 997
+# days around an order, and of these before it, on which a customer is looked up
+LOOKUP_DAYS, LOOKUP_BACK = 61, 45
 HOLIDAYS = {(1, 1): "New Year", (7, 4): "July 4", (12, 25): "Christmas"}
 
 
@@ -124,3 +126,12 @@ def date_dim(star: Star) -> DataFrame:
         flag(weekday.isin("Sat", "Sun")).alias("is_weekend"),
         holiday.alias("holiday_name"),
     )
+
+
+def as_of_points(star: Star) -> DataFrame:
+    """One (customer, day) to be looked up per order, some weeks around the order day."""
+    day = F.col("o_orderdate").cast("date")
+    shift = (F.col("o_orderkey") % LOOKUP_DAYS - LOOKUP_BACK).cast("int")
+    return star.orders.select(
+        _text("O", F.col("o_orderkey")).alias("ORDER_ID"), _text("U", F.col("o_custkey")).alias("USER_ID"), F.date_add(day, shift).alias("AS_OF")
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -33,18 +33,85 @@ def _fields(table: str) -> dict[str, str]:
     return dict(part.split() for part in SCHEMAS[table].split(", "))
 
 
+def records(spark: SparkSession, path: str | list[str], quote: str = '"') -> DataFrame:
+    """The records of delimited text files, line breaks inside quotes and all: ``file``, ``is_first`` and
+    ``record``. A file is read in blocks by many tasks.
+
+    A line begins a record if the quotes before it in its file are even in number; a quote inside text is
+    doubled and counts twice. Quotes are summed up per block, blocks are summed up along the file, and lines
+    within their block. A block's first lines may still belong to the last record of an earlier one.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+        "value",
+        (F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))).alias("quotes"),
+    )
+    block = ["file", "start"]
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    sums = lines.groupBy(*block).agg(F.sum("quotes").alias("quotes"))
+    entering = sums.select(*block, F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("entering"))
+    inside = Window.partitionBy(*block).orderBy("id")
+    before = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = ((before + F.col("entering")) % 2 == 0).cast("int")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = lines.join(entering, block).withColumn("begins", begins).withColumn("number", F.sum("begins").over(upto))
+    alone = (F.col("begins") == 1) & (F.lead("begins").over(inside) == 1)
+    numbered = numbered.withColumn("alone", F.coalesce(alone, F.lit(False))).drop("quotes", "entering", "begins")
+
+    last = numbered.groupBy(*block).agg(F.max("number").alias("number"))
+    owner = F.last(F.when(F.col("number") > 0, F.struct("start", "number")), ignorenulls=True).over(earlier)
+    owners = last.select(*block, owner.alias("owner"))
+    place = F.struct("start", "id", "value")
+    own = numbered.filter("number > 0").select("file", "start", "number", "alone", place.alias("line"))
+    rest = numbered.filter("number = 0").join(owners, block)
+    rest = rest.select("file", "owner.start", "owner.number", F.lit(False).alias("alone"), place.alias("line"))
+    record = ["file", "start", "number"]
+    # nearly all records are one line and need not be put together
+    whole = own.filter("alone").select(*record, F.col("line.value").alias("record"))
+    broken = own.filter("NOT alone").unionByName(rest).groupBy(*record).agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    joined = F.array_join(F.transform("lines", lambda line: line["value"]), "\n")
+    found = whole.unionByName(broken.select(*record, joined.alias("record")))
+    text = F.when(F.col("record").endswith("\r"), F.expr("left(record, length(record) - 1)")).otherwise(F.col("record"))
+    first = (F.col("start") == 0) & (F.col("number") == 1)
+    return found.select("file", first.alias("is_first"), F.when(first, F.ltrim(text, F.lit("\ufeff"))).otherwise(text).alias("record"))
+
+
 def read_csv_text(spark: SparkSession, path: str | list[str], table: str, **options: str) -> DataFrame:
     """A source table from delimited text, columns found by the names in the header, as text.
 
-    A missing column raises at once, further ones are left out. The files of one read have to share one
-    order of columns: Spark compares every header and fails on another one. A file with line breaks inside
-    values is read by one task, so large exports should be many files.
+    A missing column raises at once, further ones are left out. The files of one read have to share one header;
+    another one fails the read. Files with line breaks inside values are read by many tasks, too; records are
+    taken apart by Spark's own parser.
     """
     wanted, header = list(_fields(table)), _csv(spark).options(**options).csv(path).columns
     if missing := [c for c in wanted if c not in header]:
         raise ValueError(f"{table} lacks the columns {', '.join(missing)}")
-    schema = StructType([StructField(c, StringType()) for c in header])
-    return _csv(spark).options(**options).option("enforceSchema", False).schema(schema).csv(path).select(*wanted)
+    schema = ", ".join(f"c{i} string" for i in range(len(header)))
+    found = records(spark, path, options.get("quote", '"')).filter("record <> ''")
+    row = F.from_csv("record", schema, {"quote": '"', "escape": '"', "multiLine": "true", **options})
+    rows = found.select("is_first", "file", row.alias("row"))
+    cells = F.array(*[F.col("row")[f"c{i}"] for i in range(len(header))])
+    same = cells == F.array(*map(F.lit, header))
+    other = F.raise_error(F.concat(F.col("file"), F.lit(" has another header than the first file")))
+    body = rows.filter(F.when(~F.col("is_first"), True).when(same, False).otherwise(other.cast("boolean")))
+    return body.select([F.col("row")[f"c{header.index(c)}"].alias(c) for c in wanted])
+
+
+def parse_json_lines(lines: DataFrame, table: str) -> DataFrame:
+    """A source table from lines of JSON (column ``value``), one object each, as text. Keys are found by name,
+    missing ones are null, further ones are left out; blank lines are skipped. A line that holds no object has
+    null columns and is kept whole in ``UNREADABLE``."""
+    wanted = list(_fields(table))
+    schema = StructType([StructField(c, StringType()) for c in [*wanted, quality.UNREADABLE]])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": quality.UNREADABLE}
+    lines = lines.filter(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", schema, options).alias("row"))
+    # what is valid JSON but no object gives a row without a value
+    bare = ~F.trim("value").startswith("{")
+    unreadable = F.coalesce(F.col("row")[quality.UNREADABLE], F.when(bare, F.col("value")))
+    return parsed.select(*[F.when(unreadable.isNull(), F.col("row")[c]).alias(c) for c in wanted], unreadable.alias(quality.UNREADABLE))
 
 
 def _typed(table: str) -> dict[str, str]:

@@ -34,6 +34,13 @@ def replace_partitions(df: DataFrame, path: str, columns: tuple[str, ...] = DAY_
     return path
 
 
+def write_partitions(df: DataFrame, path: str, columns: tuple[str, ...]) -> str:
+    """Replace a whole table, one folder per value of the columns, rows brought together as above."""
+    whole = df.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    whole.partitionBy(*columns).parquet(path)
+    return path
+
+
 def write_raw_day(df: DataFrame, root: str, table: str, load_date: str | dt.date) -> str:
     """Stamp the load date and replace that date's partition of a raw table."""
     stamped = df.withColumn("load_date", F.lit(as_date(load_date)))

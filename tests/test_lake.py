@@ -1,16 +1,20 @@
 """The load protocol: nothing is lost or counted twice over re-runs, crashes, split days and resends."""
 
 import datetime as dt
+from contextlib import contextmanager
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from frames import by, calendar, day, items, options
 from pyspark.sql import functions as F
 
 from orderlake.functions.columns import watermark_text
+from orderlake.operators import customers, sales
 from orderlake.plans import jobs
 from orderlake.plans.queries import REFERENCE_DATE, Tables, registered
 from orderlake.schemas import FLOOR_WATERMARK
+from orderlake.sources import lake as lake_module
 from orderlake.sources.frames import FrameSource
 from orderlake.sources.lake import Batch, Lake, WriterConflict
 
@@ -41,7 +45,7 @@ def shop(spark):
 
 @pytest.fixture
 def lake(spark, tmp_path):
-    return Lake(spark, str(tmp_path / "lake"))
+    return Lake(spark, str(tmp_path / "lake"), buckets=4)
 
 
 def revenue(lake):
@@ -372,3 +376,225 @@ def test_two_loads_of_the_test_tables_equal_the_queries(lake, spark, small_data)
     same(lake.silver("date_dim"), "parse_date_dim")
     # options are loaded by their line, so those without one never get this far
     assert lake.rejects("order_item_options").isEmpty()
+
+
+# --- reports and silver by what has changed --------------------------------------------------------
+
+
+def equal(got, want):
+    got = got.select([F.col(c).cast(t).alias(c) for c, t in want.dtypes])
+    return got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def assert_as_rebuilt(lake, reference):
+    lines = lake.silver("order_items_enriched")
+    whole = {
+        "clv": customers.customer_value(lines),
+        "rfm": customers.flag_churn(customers.rfm(lines, reference)),
+        "daily_sales": sales.daily_sales(lines),
+        "location_perf": sales.location_performance(lines),
+    }
+    for name, want in whole.items():
+        assert equal(lake.report(name), want), name
+
+
+def sell_many(shop, n=40):
+    for i in range(n):
+        extras = [("x", i % 3)] if i % 2 else []
+        shop.sell(f"L{i}", f"O{i // 2}", f"2024-01-0{i % 3 + 1}T10:00:{i:02d}", price=i + 1, user=f"u{i % 7}" if i % 5 else None, extras=extras)
+
+
+def load(lake, shop, date):
+    batch = jobs.ingest(shop.source(), lake, date)
+    return batch, jobs.silver(lake)
+
+
+def test_reports_by_what_has_changed_equal_a_rebuild(lake, shop):
+    sell_many(shop)
+    load(lake, shop, "2024-01-03")
+    jobs.gold(lake, "2024-04-05")
+    assert_as_rebuilt(lake, "2024-04-05")
+    # one line is moved and gets another customer, one order is spread over a further day, one line is new
+    shop.sell("L4", "O2", "2024-01-04T09:00:00", price=500, user="new")
+    shop.sell("L90", "O1", "2024-01-04T10:00:00", price=3, user="u1")
+    shop.sell("L91", "O91", "2024-01-04T11:00:00", price=3, user=None)
+    _, days = load(lake, shop, "2024-01-04")
+    assert day("2024-01-04") in days and day("2024-01-03") not in days
+    jobs.gold(lake, "2024-04-06")
+    assert_as_rebuilt(lake, "2024-04-06")
+    # a replay takes rows away again, and a customer with them
+    shop.items = [row for row in shop.items if row[0] not in ("L90", "L7", "L14", "L21", "L28")]
+    jobs.replay(shop.source(), lake, 1)
+    jobs.replay(shop.source(), lake, 2)
+    jobs.silver(lake)
+    jobs.gold(lake, "2024-04-07")
+    assert_as_rebuilt(lake, "2024-04-07")
+    # with nothing new the reports stay, but for what depends on the day
+    before = lake.published()
+    assert jobs.gold(lake, "2024-05-01") == 4
+    assert lake.days_since(before.silver_run) == []
+    assert_as_rebuilt(lake, "2024-05-01")
+
+
+def test_buckets_of_another_number_are_made_anew(lake, shop, spark):
+    sell_many(shop, 12)
+    load(lake, shop, "2024-01-03")
+    jobs.gold(lake, "2024-04-05")
+    other = Lake(spark, lake.root, buckets=3)
+    shop.sell("L4", "O2", "2024-01-04T09:00:00", price=500)
+    load(other, shop, "2024-01-04")
+    jobs.gold(other, "2024-04-05")
+    assert_as_rebuilt(other, "2024-04-05")
+    shop.sell("L5", "O2", "2024-01-04T09:30:00", price=50)
+    load(lake, shop, "2024-01-05")
+    jobs.gold(lake, "2024-04-05")
+    assert_as_rebuilt(lake, "2024-04-05")
+
+
+@contextmanager
+def unreadable(*paths):
+    """Whoever reads one of these files fails."""
+    held = {path: path.read_bytes() for path in paths}
+    assert held
+    for path in held:
+        path.write_bytes(b"nothing to read here")
+    yield
+    for path, content in held.items():
+        path.write_bytes(content)
+
+
+def test_a_small_load_reads_touched_days_and_buckets_only(lake, shop, spark):
+    sell_many(shop)
+    load(lake, shop, "2024-01-03")
+    jobs.gold(lake, "2024-04-05")
+
+    def bucket(value):
+        return spark.createDataFrame([(value,)], "v string").select(lake.in_bucket("v")).first()[0]
+
+    def files(folder, keep=()):
+        found = Path(lake.root, folder).rglob("*.parquet")
+        return [f for f in found if not any(part in keep for part in f.parts)]
+
+    silver_days = files("prod/order_items_enriched", keep=("day=2",))
+    index = files("prod/line_index_4", keep=(f"bucket={bucket('L1')}",))
+    people = [f for t in ("customer_orders_4", "customer_days_4") for f in files(f"state/{t}", keep=(f"bucket={bucket('u1')}",))]
+    orders = [f for t in ("location_orders_4",) for f in files(f"state/{t}", keep=(f"bucket={bucket('O0')}",))]
+    with unreadable(*silver_days, *index, *people, *orders, *files("raw/order_items"), *files("raw/order_item_options")):
+        with pytest.raises(Exception, match="."):
+            lake.silver("order_items_enriched").collect()
+        # a landed line of the second day, which keeps its options
+        again = items(spark, [("L1", "O0", "u1", "2024-01-02T23:00:00", 77, 1)])
+        land(lake, Batch(lake.next_batch_id(), dt.date(2024, 1, 4), None, None, {}), order_items=again)
+        assert jobs.silver(lake) == [day("2024-01-02")]
+        jobs.gold(lake, "2024-04-05")
+    assert revenue(lake)["L1"] == D("78.00") and lake.silver("order_items_enriched").count() == 40
+    assert_as_rebuilt(lake, "2024-04-05")
+
+
+def test_line_index_holds_every_line(lake, shop):
+    sell_many(shop)
+    load(lake, shop, "2024-01-03")
+    shop.sell("L4", "O2", "2024-01-04T09:00:00")
+    load(lake, shop, "2024-01-04")
+    jobs.silver(lake, {1})
+    index = lake.line_index([*range(4)])
+    lines = lake.silver("order_items_enriched").select("LINEITEM_ID", "ORDER_ID", "ORDER_DATE", lake.in_bucket("LINEITEM_ID").alias("bucket"))
+    assert equal(index, lines)
+
+
+def test_tiers_over_time(lake, shop):
+    for i in range(10):
+        shop.sell(f"L{i}", f"O{i}", "2024-01-01T10:00:00", price=i + 1, user=f"u{i}")
+    load(lake, shop, "2024-01-01")
+    jobs.gold(lake, "2024-01-01")
+    shop.sell("L10", "O10", "2024-01-02T10:00:00", price=100, user="u0")
+    load(lake, shop, "2024-01-02")
+    jobs.gold(lake, "2024-01-02")
+
+    def told():
+        return {(r.USER_ID, r.CLV_TAG, str(r.VALID_FROM), str(r.VALID_TO)) for r in lake.report("clv_tag_history").collect()}
+
+    history = told()
+    assert {("u0", "Low", "2024-01-01", "2024-01-02"), ("u0", "High", "2024-01-02", "None"), ("u9", "High", "2024-01-01", "None")} <= history
+    assert {("u8", "High", "2024-01-01", "2024-01-02"), ("u8", "Med", "2024-01-02", "None")} <= history
+    # the same run again, and one for an earlier day, leave the history as it is
+    jobs.gold(lake, "2024-01-02")
+    jobs.gold(lake, "2023-12-31")
+    assert told() == history
+    now = {(r.USER_ID, r.CLV_TAG) for r in lake.report("clv").select("USER_ID", "CLV_TAG").distinct().collect()}
+    assert now == {(u, tag) for u, tag, _, upto in history if upto == "None"}
+    assert {r[:2] for r in map(tuple, lake.report("clv_tag_history", 1).collect())} == {
+        (f"u{i}", "Low" if i < 2 else "High" if i > 7 else "Med") for i in range(10)
+    }
+
+
+# --- several writers -------------------------------------------------------------------------------
+
+
+def interleaved(monkeypatch, owner, step, other):
+    """The first time ``step`` is reached, another writer does all of its work before it goes on."""
+    real, done = getattr(owner, step), []
+
+    def between(*args, **named):
+        if not done:
+            done.append(1)
+            other()
+        return real(*args, **named)
+
+    monkeypatch.setattr(owner, step, between)
+    return done
+
+
+LOAD_STEPS = [(Lake, "write_batch"), (Lake, "commit_batch"), (lake_module, "rename_once")]
+
+
+@pytest.mark.parametrize("owner, step", LOAD_STEPS, ids=[name for _, name in LOAD_STEPS])
+def test_of_two_loads_at_once_one_is_seen(lake, shop, spark, monkeypatch, owner, step):
+    shop.sell("L1", "A", "2024-01-01T10:00:00", extras=[("x", 2)])
+    other = Lake(spark, lake.root, buckets=4)
+    done = interleaved(monkeypatch, owner, step, lambda: jobs.ingest(shop.source(), other, "2024-01-01", run_id="other"))
+    with pytest.raises(WriterConflict):
+        jobs.ingest(shop.source(), lake, "2024-01-01", run_id="this")
+    assert done
+    assert [r.run_id for r in lake.ledger("batches").select("run_id").distinct().collect()] == ["other"]
+    assert raw(lake).count() == 1 and raw(lake, "order_item_options").count() == 1
+    # the loser tries again and finds nothing new
+    assert jobs.ingest(shop.source(), lake, "2024-01-01").rows["order_items"] == 0
+    jobs.silver(lake)
+    assert revenue(lake) == {"L1": D("12.00")}
+
+
+SILVER_STEPS = [(Lake, "claim"), (lake_module, "rename_once")]
+
+
+@pytest.mark.parametrize("owner, step", SILVER_STEPS, ids=[name for _, name in SILVER_STEPS])
+def test_of_two_silver_and_gold_runs_at_once_one_is_seen(lake, shop, spark, monkeypatch, owner, step):
+    sell_many(shop, 6)
+    jobs.ingest(shop.source(), lake, "2024-01-03")
+    other = Lake(spark, lake.root, buckets=4)
+    with monkeypatch.context() as patch:
+        done = interleaved(patch, owner, step, lambda: jobs.silver(other))
+        with pytest.raises(WriterConflict):
+            jobs.silver(lake)
+    assert done
+    whole = [tuple(r) for r in lake.silver("order_items_enriched").collect()]
+    assert len(whole) == 6 and jobs.silver(lake) == []
+    with monkeypatch.context() as patch:
+        interleaved(patch, owner, step, lambda: jobs.gold(other, "2024-04-05"))
+        with pytest.raises(WriterConflict):
+            jobs.gold(lake, "2024-04-06")
+    assert str(lake.published().reference_date) == "2024-04-05"
+    assert lake.report("daily_sales").count() == 3 and lake.report("clv").count() == 4
+
+
+def test_replays_at_once_have_one_winner(lake, shop, spark, monkeypatch):
+    shop.sell("L1", "A", "2024-01-01T10:00:00")
+    jobs.ingest(shop.source(), lake, "2024-01-01")
+    other = Lake(spark, lake.root, buckets=4)
+    shop.items[0] = ("L1", "A", "u", "2024-01-01T10:00:00", 99, 1)
+    interleaved(monkeypatch, Lake, "write_batch", lambda: jobs.replay(shop.source(), other, 1))
+    with pytest.raises(WriterConflict):
+        jobs.replay(shop.source(), lake, 1)
+    assert [(b.batch_id, b.generation) for b in lake.batches()] == [(1, 3)]
+    jobs.silver(lake)
+    assert revenue(lake) == {"L1": D("99.00")}

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orderlake.functions import lineage
 from orderlake.operators import customers, enrich, incremental, quality, sales
 from orderlake.plans.queries import Tables, registered
 from orderlake.sources.sinks import replace_partitions
@@ -24,9 +23,27 @@ def test_no_query_gathers_its_rows_in_one_partition(spark, small_data, name):
     assert "Python" not in text
 
 
-def test_tiers_are_set_without_a_shuffle(spark, small_data):
-    text = plan(registered()["clv"](spark, small_data))
-    assert "Exchange" not in text and "Join" not in text
+def _steps(text, step):
+    return sum(step in line for line in text.splitlines())
+
+
+@pytest.mark.parametrize(
+    "tiled, plain",
+    [("clv", "daily_spend_ltv"), ("rfm_scores", "rfm"), ("customer_quintile", "clv_latest_refund_safe"), ("clv_tag_migration", None)],
+)
+def test_tiers_are_set_without_a_shuffle_or_join(spark, small_data, tiled, plain):
+    queries = registered()
+    text = plan(queries[tiled](spark, small_data))
+    assert "RDD" not in text, "the plan has to begin at the files"
+    if plain is None:
+        # one grouping by customer, one by pair of tiers
+        text, base = plan(queries[tiled](spark, small_data)), plan(queries["daily_spend_ltv"](spark, small_data))
+        assert _steps(text, "Join") == _steps(base, "Join") and _steps(text, "Exchange") <= _steps(base, "Exchange") + 1
+        return
+    base = plan(queries[plain](spark, small_data))
+    assert _steps(text, "Exchange") == _steps(base, "Exchange") > 0
+    assert _steps(text, "Join") == _steps(base, "Join") > 0
+    assert _steps(text, "Scan parquet") == _steps(base, "Scan parquet") > 0
 
 
 def test_scans_read_the_columns_they_need(spark, small_data):
@@ -149,13 +166,6 @@ def test_hot_day_is_written_by_several_tasks(spark, settings, tmp_path):
     assert counts[1] > 5 and max(n for d, n in counts.items() if d != 1) <= 3
 
 
-def test_checkpoints_go_to_the_folder_of_the_session(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    folder = lineage.checkpoint_dir(spark)
-    assert named is None or folder == named
-    assert spark.sparkContext.getCheckpointDir().startswith(folder if "://" in folder else f"file:{folder}")
-
-
 def test_gold_slices_shrink_what_is_shuffled_again(spark, small_data):
     silver = Tables(spark, small_data).silver
     slices = sales.order_slices(silver, "USER_ID", "RESTAURANT_ID", "ORDER_DATE")

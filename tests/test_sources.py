@@ -29,7 +29,7 @@ def write_items(tmp_path):
 
 def test_csv_with_line_breaks_and_quotes(spark, tmp_path):
     path = write_items(tmp_path)
-    rows = files.read_csv(spark, path, "order_items").collect()
+    rows = files.read_csv(spark, path, "order_items").orderBy("LINEITEM_ID").collect()
     assert len(rows) == 2
     assert rows[0].ITEM_NAME == "1/4 Plate,\nWhite Meat" and rows[1].ITEM_NAME == 'a "big" one'
     assert rows[0].PRINTED_CARD_NUMBER == "00123" and rows[0].ITEM_PRICE == D("10.50")
@@ -38,6 +38,58 @@ def test_csv_with_line_breaks_and_quotes(spark, tmp_path):
     assert bad.REJECT_REASON == "ITEM_PRICE is not decimal(10,2), ITEM_QUANTITY is not int"
 
 
+OPTION_HEADER = "ORDER_ID,LINEITEM_ID,OPTION_GROUP_NAME,OPTION_NAME,OPTION_PRICE,OPTION_QUANTITY"
+
+
+def one_task(spark, path):
+    """The options of a file as one task reads them."""
+    return spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(path)
+
+
+def told(rows):
+    return sorted(repr(tuple(r)) for r in rows.collect())
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_are_found_wherever_a_block_begins(spark, settings, tmp_path, end):
+    """Line breaks, quotes, separators and headers inside values, and blocks that begin at every byte of them."""
+    odd = ['a "b" c', "two\nlines", "\n\n", "x\r\ny", ", , ,", '"', "", "é 中\n🙂", OPTION_HEADER + "\n1,2,3,4,5,6", '\n"\n""', "plain"]
+    lines, want = [OPTION_HEADER], []
+    for i, name in enumerate(odd * 3):
+        want.append(repr((f"O{i}", f"L{i}", "g", name or None, f"{i}.50", "1")))
+        value = '"' + name.replace('"', '""') + '"' if name != "plain" else name
+        lines.append(f"O{i},L{i},g,{value},{i}.50,1")
+    path = tmp_path / "options.csv"
+    path.write_bytes((end.join(lines) + end).encode())
+    for size in (29, 64, 997, 100_000):
+        settings(spark__sql__files__maxPartitionBytes=str(size), spark__sql__files__openCostInBytes="0", spark__sql__shuffle__partitions="2")
+        assert told(files.read_csv_text(spark, str(path), "order_item_options")) == sorted(want), size
+
+
+def test_large_file_is_read_by_several_tasks(spark, settings, tmp_path):
+    path = tmp_path / "options.csv"
+    with open(path, "w") as out:
+        out.write(OPTION_HEADER + "\n")
+        for i in range(30_000):
+            note = f'"line {i}\nand ""more"" {"x" * (i % 90)}"' if i % 3 else f"plain {i}"
+            out.write(f"O{i},L{i},g,{note},{i % 50}.25,1\n")
+    settings(spark__sql__files__maxPartitionBytes="150000")
+    rows = files.read_csv_text(spark, str(path), "order_item_options")
+    want = one_task(spark, str(path))
+    assert want.rdd.getNumPartitions() == 1
+    assert files.records(spark, str(path)).select("file").distinct().count() == 1
+    blocks = spark.read.text(str(path)).select("_metadata.file_block_start").distinct().count()
+    assert blocks >= 8
+    assert rows.count() == 30_000 and rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
+
+
+def test_files_of_one_read_share_one_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(OPTION_HEADER + "\nO1,L1,g,x,1,1\n")
+    (tmp_path / "b.csv").write_text(OPTION_HEADER.replace("ORDER_ID,LINEITEM_ID", "LINEITEM_ID,ORDER_ID") + "\nL2,O2,g,x,1,1\n")
+    with pytest.raises(Exception, match="has another header"):
+        files.read_csv_text(spark, str(tmp_path), "order_item_options").collect()
+
+
 def test_csv_columns_are_found_by_name(spark, tmp_path):
     path = tmp_path / "calendar.csv"
     path.write_text(
@@ -65,7 +117,7 @@ def test_text_is_cast_and_what_does_not_fit_is_null(spark, tmp_path):
     assert set(dict(text.dtypes).values()) == {"string"}
     typed = enrich.typed_items(text)
     assert dict(typed.dtypes)["ITEM_PRICE"] == "decimal(10,2)"
-    rows = typed.collect()
+    rows = typed.orderBy(F.asc_nulls_last("LINEITEM_ID")).collect()
     assert (rows[0].ITEM_PRICE, rows[0].ITEM_QUANTITY) == (D("10.50"), 2)
     assert (rows[2].ITEM_PRICE, rows[2].ITEM_QUANTITY) == (None, None)
     guessed = files.read_csv_inferred(spark, write_items(tmp_path))
@@ -110,10 +162,10 @@ def test_raw_day(spark, tmp_path):
 def test_time_slices_cover_the_range_once():
     lo, hi = as_timestamp("2024-01-01"), as_timestamp("2024-01-02T00:00:00.000007")
     slices = jdbc.time_slices(lo, hi, 7)
-    assert slices[0][0] == lo and slices[-1][1] == hi and len(slices) == 7
-    assert all(a[1] == b[0] for a, b in zip(slices, slices[1:]))
+    assert slices[0].lo == lo and slices[-1].hi == hi and len(slices) == 7
+    assert all(a.hi == b.lo for a, b in zip(slices, slices[1:]))
     tiny = jdbc.time_slices(lo, lo + dt.timedelta(microseconds=2), 16)
-    assert len(tiny) <= 3 and tiny[-1][1] == lo + dt.timedelta(microseconds=2)
+    assert len(tiny) <= 3 and tiny[-1].hi == lo + dt.timedelta(microseconds=2)
 
 
 def test_database_predicates_select_what_the_operator_selects(spark):
@@ -149,3 +201,52 @@ def test_database_predicates_select_what_the_operator_selects(spark):
             rows = lambda frame: sorted(repr([r[c] for c in key]) for r in frame)
             assert rows(got) == rows(want.collect())
     assert jdbc.slice_predicates("date_dim", slices) is None
+
+
+# stands in for the database's own hash
+SPARK_HASH = "pmod(xxhash64({key}), {parts})"
+
+
+def skewed_tables(spark, n=6000):
+    """Half of the lines in one second, a third of all in one instant of it, the rest over two years."""
+    i = F.col("id")
+    start = F.lit("2024-01-01").cast("timestamp")
+    offset = F.when(i % 3 == 0, 5 * 10**6).when(i % 6 == 1, 5 * 10**6 + i * 100 % 10**6).otherwise(i * 10**10 % (63 * 10**12))
+    lines = spark.range(0, n, 1, 4).select(
+        F.timestamp_micros(F.unix_micros(start) + offset).alias("CREATION_TIME_UTC"),
+        F.concat(F.lit("O"), (i / 2).cast("int")).alias("ORDER_ID"),
+        F.when(i % 500 > 0, F.concat(F.lit("L"), i)).alias("LINEITEM_ID"),
+    )
+    options = lines.withColumn("OPTION_NAME", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    return {"order_items": lines, "order_item_options": options}
+
+
+def test_slices_are_even_however_time_is_skewed(spark):
+    tables = skewed_tables(spark)
+    for name, frame in tables.items():
+        frame.cache().createOrReplaceTempView(name)
+    lo, hi = as_timestamp("2023-06-01"), as_timestamp("2027-01-01")
+    asked = []
+
+    def count(slices):
+        asked.append(len(slices))
+        conditions = jdbc.slice_predicates("order_items", slices, "order_items", SPARK_HASH)
+        sums = ", ".join(f"SUM(CASE WHEN {c} THEN 1 ELSE 0 END)" for c in conditions)
+        return [n or 0 for n in spark.sql(f"SELECT {sums} FROM order_items").first()]
+
+    slices = jdbc.depth_slices(count, lo, hi, 8)
+    assert len(asked) < 15 and slices[0].lo == lo and slices[-1].hi == hi
+    for name in tables:
+        predicates = jdbc.slice_predicates(name, slices, key_hash=SPARK_HASH)
+        counts = [spark.sql(f"SELECT count(*) FROM {name} SRC WHERE {p}").first()[0] for p in predicates]
+        loaded = incremental.select_batch(name, tables.get, lo, hi).count()
+        # every row in exactly one slice, no slice over twice the mean
+        assert sum(counts) == loaded > 0
+        assert max(counts) <= 2 * loaded / len(slices), name
+    # without a hash an instant stays whole
+    assert all(s.parts == 1 for s in jdbc.depth_slices(count, lo, hi, 8, by_hash=False))
+
+
+def test_slices_of_nothing(spark):
+    lo, hi = as_timestamp("2024-01-01"), as_timestamp("2024-01-02")
+    assert jdbc.depth_slices(lambda slices: [0] * len(slices), lo, hi, 8) == [jdbc.Slice(lo, hi)]
