@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from orderlake.llm.urls import SOFT_LIMIT, SOFT_TERMS, STRICT_TERMS
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _SQL: dict[str, str] = {}
@@ -109,6 +111,115 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
 FROM drawn
 """
 
+_SQL["op3_decontamination"] = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+),
+items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+),
+phrases AS (
+    SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS phrase
+    FROM items, unnest(generate_series(1, greatest(len(words) - 9, 1))) AS t(i) WHERE len(words) > 0
+),
+windows AS (
+    SELECT row, i, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+    FROM docs, (SELECT DISTINCT size FROM phrases) s, unnest(generate_series(1, len(words) - size + 1)) AS t(i)
+),
+hits AS (SELECT DISTINCT w.row, w.i, w.size, p.item_id FROM windows w JOIN phrases p USING (size, phrase)),
+hit AS (SELECT row, count(DISTINCT i + k) AS n FROM hits, unnest(generate_series(0, size - 1)) AS t(k) GROUP BY row),
+found AS (
+    SELECT row, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT row, item_id::VARCHAR AS name FROM hits WHERE item_id IS NOT NULL) x GROUP BY row
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(f.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(f.names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit h USING (row) LEFT JOIN found f USING (row)
+"""
+
+_SQL["op4_substring_dedup"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+starts AS (
+    SELECT row, i, md5(array_to_string(words[i:i + 34], ' ')) AS digest FROM docs, unnest(generate_series(1, len(words) - 34)) AS t(i)
+),
+again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY digest) AS n FROM starts) x WHERE n > 1),
+gone AS (SELECT DISTINCT row, i + k AS i FROM again, unnest(generate_series(0, 34)) AS t(k)),
+kept AS (
+    SELECT row, string_agg(word, ' ' ORDER BY i) AS text
+    FROM (SELECT row, i, words[i] AS word FROM docs, unnest(generate_series(1, len(words))) AS t(i)) x
+    ANTI JOIN gone USING (row, i) GROUP BY row
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs LEFT JOIN (SELECT row, count(*) AS n FROM gone GROUP BY row) g USING (row) LEFT JOIN kept k USING (row)
+"""
+
+_SQL["op10_near_dups"] = rf"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 1], ' ') AS shingle
+    FROM docs, unnest(generate_series(1, greatest(len(words) - 1, 1))) AS t(i) WHERE len(words) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS n FROM shingles a JOIN shingles b USING (shingle)
+    WHERE a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT one, two FROM common c JOIN sizes a ON a.doc_id = one JOIN sizes b ON b.doc_id = two
+    WHERE 100 * c.n >= 80 * (a.n + b.n - c.n)
+),
+edges AS (SELECT one, two FROM links UNION ALL SELECT two, one FROM links),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM docs
+    UNION
+    SELECT r.doc_id, e.two FROM reached r JOIN edges e ON e.one = r.other
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, r.component_id, r.component_id = d.doc_id AS kept
+FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r USING (doc_id)
+"""
+
+
+def _hits(terms: tuple[str, ...]) -> str:
+    """How many of the terms occur between characters that are no letters or digits."""
+    sides = "(^|[^A-Za-z0-9])", "([^A-Za-z0-9]|$)"
+    return " + ".join(f"(regexp_matches(folded, '{sides[0]}{term}{sides[1]}'))::INT" for term in terms)
+
+
+_SQL["op7_url_filter"] = f"""
+WITH parts AS (
+    SELECT page_id, translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS folded,
+           CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+),
+cut AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+           {_hits(STRICT_TERMS)} AS strict_hits, {_hits(SOFT_TERMS)} AS soft_hits
+    FROM parts
+),
+ruled AS (
+    SELECT *, CASE
+        WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+        WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
+        WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
+        WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
+        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule
+    FROM cut
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN strict_hits > 0 OR soft_hits >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
+       strict_hits, soft_hits
+FROM ruled
+"""
+
 
 def _hashed(text: str) -> str:
     """The digest of a row with the given expression for its text."""
