@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,12 @@ from orderlake.operators.joins import join_unique
 
 #: Words of a shingle, and the similarity of a link in percent.
 SHINGLE, PERCENT = 5, 80
-#: Registers: bands times registers in a band, the base of their scale, its rate and its top.
-BANDS, BAND = 40, 5
+#: Registers: bands times registers in a band, the base of their scale, its rate and its top. Further bands take
+#: one register of each of five neighbourhoods.
+BANDS, BAND, MORE_BANDS = 40, 5, 20
 BASE, RATE, TOP = 1.02, 20.0, 65534
-#: Standard deviations by which a true pair may fall short in the estimates before it is tested exactly.
-SLACK = 5.0
+#: Share of the pairs at the threshold that an estimate may rule out.
+LOSS = 1e-12
 #: Rounds of pairing with one representative per bucket before classes are tested against components.
 ROUNDS = 2
 #: Members of a component, and classes tested against it, in one block; shingles of either in a block, unless
@@ -49,6 +51,15 @@ _TERMS = _SEED.integers(0, 1 << 32, BANDS * BAND, np.uint32)
 _BAND_POWERS = W.powers(W.OTHER_BASE, BAND)
 
 
+def most_often(n: int, chance: float) -> int:
+    """How often something of the given chance happens in ``n`` trials at most, but for ``LOSS`` of all cases.
+    Binomial tails are summed up: far out they are heavier than a normal distribution's."""
+    tail, most = 0.0, n
+    while most and (tail := tail + comb(n, most) * chance**most * (1 - chance) ** (n - most)) <= LOSS:
+        most -= 1
+    return most
+
+
 def shingle_sets(splitter: W.Splitter, column: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """For each slice of texts its first row and the sorted distinct shingle hashes of each text."""
     for words in splitter.slices(column):
@@ -107,7 +118,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return np.take_along_axis(grid, likelihood.argmax(1)[:, None], 1)[:, 0]
 
 
-_SIGNED = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, registers binary"
+_SIGNED = "doc_id bigint, id bigint, n_shingles bigint, s1 bigint, s2 bigint, registers binary"
 
 
 def _sign(size: int) -> Callable:
@@ -121,12 +132,13 @@ def _sign(size: int) -> Callable:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, len(sets)),
+                        batch.column("id").slice(first, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(prints[:, 0].copy()),
                         pa.array(prints[:, 1].copy()),
                         pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "s1", "s2", "registers"],
+                    ["doc_id", "id", "n_shingles", "s1", "s2", "registers"],
                 )
 
     return run
@@ -142,10 +154,12 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first in range(0, whole.num_rows, 2048):
             batch = whole.slice(first, 2048)
             rows = _matrix(batch.column("registers"))
-            folded = (rows.reshape(len(rows), BANDS, BAND).astype(np.uint64) + np.uint64(1)) * _BAND_POWERS
-            buckets = W.mix(folded.sum(2) + np.arange(BANDS, dtype=np.uint64) * W.BYTE_BASE)
+            bands = rows.reshape(len(rows), BANDS, BAND)
+            across = rows.reshape(len(rows), BAND, BANDS)[:, :, :MORE_BANDS].transpose(0, 2, 1)
+            folded = (np.concatenate([bands, across], 1).astype(np.uint64) + np.uint64(1)) * _BAND_POWERS
+            buckets = W.mix(folded.sum(2) + np.arange(folded.shape[1], dtype=np.uint64) * W.BYTE_BASE)
             bits = np.packbits((rows[:, :64] & 1).astype(bool), axis=1).view(np.int64)[:, 0]
-            place = pa.array(np.repeat(np.arange(len(rows)), BANDS))
+            place = pa.array(np.repeat(np.arange(len(rows)), folded.shape[1]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(buckets.view(np.int64).ravel()), *(c.take(place) for c in (batch.column("id"), batch.column("n"), pa.array(bits)))],
                 ["bucket", "id", "n", "bits"],
@@ -155,9 +169,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _possible(a: str, b: str, percent: int) -> Column:
     """Sizes and register bits of two classes allow a link."""
     n_a, n_b = F.col(f"{a}n"), F.col(f"{b}n")
-    share = percent / 100
-    differ = 64 * (1 - share) / 2
-    most = int(differ + SLACK * (differ * (1 + share) / 2) ** 0.5) + 1
+    most = most_often(64, (1 - percent / 100) / 2)
     sizes = (n_a * 100 >= n_b * percent) & (n_b * 100 >= n_a * percent)
     return sizes & (F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits"))) <= most)
 
@@ -187,7 +199,7 @@ def _confirmed(size: int, percent: int) -> Callable:
                 linked = []
                 for one, two in zip(sets(batch.column("t_a")), sets(batch.column("t_b"))):
                     common = len(np.intersect1d(one, two, assume_unique=True))
-                    linked.append(100 * common >= percent * (len(one) + len(two) - common))
+                    linked.append(common > 0 and 100 * common >= percent * (len(one) + len(two) - common))
                 yield batch.select(["a", "b"]).filter(pa.array(linked))
 
     return run
@@ -198,8 +210,7 @@ class _Links:
 
     def __init__(self, texts: DataFrame, classes: DataFrame, size: int, percent: int):
         self._texts, self._classes, self._size, self._percent = texts, classes, size, percent
-        share = percent / 100
-        self._least = share - SLACK * (share * (1 - share) / (BANDS * BAND)) ** 0.5
+        self._least = 1 - most_often(BANDS * BAND, 1 - percent / 100) / (BANDS * BAND)
 
     def _both(self, pairs: DataFrame, table: DataFrame, columns: dict[str, str]) -> DataFrame:
         for side in "ab":
@@ -254,12 +265,14 @@ def _tested(size: int, percent: int) -> Callable:
         texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
         sets = [s for _, part in shingle_sets(splitter, texts, size) for s in part]
         links: list[tuple[int, int]] = []
-        inside = np.flatnonzero(member)
+        # an id that repeats may come with a text without words, too
+        filled = np.array([len(s) > 0 for s in sets], bool)
+        inside = np.flatnonzero(member & filled)
         if len(inside) and len(inside) < len(ids):
             lengths = np.array([len(sets[i]) for i in inside])
             values, places = np.unique(np.concatenate([sets[i] for i in inside]), return_inverse=True)
             begin = np.cumsum(lengths) - lengths
-            for i in np.flatnonzero(~member):
+            for i in np.flatnonzero(~member & filled):
                 at = np.minimum(np.searchsorted(values, sets[i]), len(values) - 1)
                 held = np.zeros(len(values), np.int32)
                 held[at[values[at] == sets[i]]] = 1
@@ -288,28 +301,31 @@ def near_duplicates(
     Two documents are linked if their sets of ``size``-word shingles (A-Z in lower case; a shorter text is
     one shingle) share ``percent`` in a hundred of their union. ``component_id`` is the smallest id reachable
     over links, ``kept`` marks the documents with that id. Empty and null texts have no set and no link.
-    Repeated rows share their id and stay or go together. A row without an id can be linked to another but
-    names no component; it is kept only if no row with an id has its set. Other columns are not read.
+    Repeated rows share their id and stay or go together. A row without an id is a document like others: it links
+    and is linked, but names no component, and where no document with an id is reachable it has none and is
+    kept. Other columns are not read.
 
-    Two documents that are similar enough miss every bucket with probability (1 - s ** 5) ** 40, 1.3e-7 at
-    s = 0.8, and the estimates allow five standard deviations.
+    Two documents that are similar enough miss every bucket with probability (1 - s ** 5) ** 60, 4.6e-11 at
+    s = 0.8, were the bands independent; the estimates rule out one in 1e12 of them each.
     """
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    # a text without an id goes by its hash
+    plain = plain.withColumn("id", F.coalesce("doc_id", F.xxhash64("text")))
     signed = staged(plain.mapInArrow(_sign(size), _SIGNED), "signed")
     sets = ["s1", "s2", "n_shingles"]
     full = signed.filter(F.col("n_shingles") > 0)
-    classes = full.filter(F.col("doc_id").isNotNull()).groupBy(*sets).agg(
-        F.min("doc_id").alias("id"), F.min_by("registers", "doc_id").alias("registers")
+    classes = full.groupBy(*sets).agg(
+        F.coalesce(F.min("doc_id"), F.min("id")).alias("id"), F.min("doc_id").alias("first"), F.min_by("registers", "id").alias("registers")
     )
     classes = staged(classes.withColumnRenamed("n_shingles", "n"), "classes")
-    texts = plain.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("digest"))
+    texts = plain.select("id", "text", F.xxhash64("text").alias("digest"))
     labels = _connect(classes, texts, size, percent)
-    named = classes.select("s1", "s2", F.col("n").alias("n_shingles"), "id")
-    if labels is not None:
-        named = join_unique(named, labels, ["id"], "left")
-    else:
-        named = named.withColumn("component", F.lit(None).cast("bigint"))
-    named = named.select(*sets, F.coalesce("component", "id").alias("component"))
+    # the smallest id of a component may be a hash
+    named = join_unique(classes.select("id", "first"), labels, ["id"], "inner")
+    names = named.groupBy("component").agg(F.min("first").alias("name"))
+    labels = join_unique(labels, names, ["component"], "inner").select("id", "name", F.lit(True).alias("linked"))
+    named = join_unique(classes.select("s1", "s2", F.col("n").alias("n_shingles"), "id", "first"), labels, ["id"], "left")
+    named = named.select(*sets, F.when(F.col("linked"), F.col("name")).otherwise(F.col("first")).alias("component"))
     found = join_unique(full.select("doc_id", *sets), named, sets, "left").select("doc_id", "n_shingles", "component")
     empty = signed.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
     alone = F.col("component").isNull()
