@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import cache
 from itertools import chain
 from operator import itemgetter
 
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm import wordbpe
+from orderlake.llm.staging import kept
 
 #: Texts, and bytes of text, whose distinct pieces are encoded together.
 TEXTS_OF_SLICE, SLICE_BYTES = 8192, 1 << 24
@@ -243,7 +243,7 @@ def gathered(flat: np.ndarray, borders: np.ndarray, which: np.ndarray) -> tuple[
     return flat[places], ends
 
 
-@cache
+@kept
 def _proposer(path: str) -> Proposer:
     return Proposer(wordbpe.load(path))
 

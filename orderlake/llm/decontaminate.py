@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm import words as W
+from orderlake.llm.staging import lean
 from orderlake.operators.joins import join_unique
 
 WINDOW = 10
@@ -357,7 +358,7 @@ def drop_contaminated(
     for block in _blocks(benchmark.select(F.col("item_id").cast("bigint"), "text"), block_words):
         wanted = phrases(block, window)
         if wanted is not None:
-            docs = docs.mapInArrow(without(spark.sparkContext.broadcast(wanted)), docs.schema)
+            docs = docs.mapInArrow(lean(without(spark.sparkContext.broadcast(wanted))), docs.schema)
     return docs
 
 

@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderlake.llm.staging import lean
+
 UNKNOWN = "und"
 LENGTH = 256
 WIDTHS, FILTERS = (2, 3, 4), 16
@@ -237,7 +239,7 @@ def identify(
             )
 
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), held_out(id_col).alias("held_out"))
-    return plain.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return plain.mapInArrow(lean(run), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
 def least_score(model: ByteCnn, lift: float) -> float:
@@ -261,4 +263,4 @@ def keep_known(docs: DataFrame, model: ByteCnn | None, lift: float, text_col: st
         for batch, names, scores in _pieces(batches, shared, text_col):
             yield batch.filter(pa.array((names != UNKNOWN) & (scores >= least)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm import words as W
 from orderlake.llm.components import components
-from orderlake.llm.staging import staged
+from orderlake.llm.staging import lean, staged
 from orderlake.operators.joins import join_unique
 
 #: Words of a shingle, and the similarity of a link in percent.
@@ -221,9 +221,9 @@ class _Links:
     def of_pairs(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are similar enough: estimated, then confirmed on the full sets."""
         known = self._both(pairs, self._classes, {"n": "n", "registers": "r"})
-        likely = known.mapInArrow(_estimated(self._least), "a bigint, b bigint")
+        likely = known.mapInArrow(lean(_estimated(self._least)), "a bigint, b bigint")
         both = self._both(likely, self._texts, {"text": "t"})
-        return staged(both.mapInArrow(_confirmed(self._size, self._percent), "a bigint, b bigint"), "links")
+        return staged(both.mapInArrow(lean(_confirmed(self._size, self._percent)), "a bigint, b bigint"), "links")
 
     def of_components(self, tests: DataFrame, labels: DataFrame) -> DataFrame:
         """Links of classes (id, component) to the components they are to be tested against (against), and to
@@ -311,7 +311,7 @@ def near_duplicates(
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     # a text without an id goes by its hash
     plain = plain.withColumn("id", F.coalesce("doc_id", F.xxhash64("text")))
-    signed = staged(plain.mapInArrow(_sign(size), _SIGNED), "signed")
+    signed = staged(plain.mapInArrow(lean(_sign(size)), _SIGNED), "signed")
     sets = ["s1", "s2", "n_shingles"]
     full = signed.filter(F.col("n_shingles") > 0)
     classes = full.groupBy(*sets).agg(
@@ -339,7 +339,7 @@ def near_duplicates(
 
 def _connect(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Components of the classes that are linked to any other: (id, component)."""
-    bands = classes.select("id", "n", "registers").mapInArrow(_bands, "bucket bigint, id bigint, n bigint, bits bigint")
+    bands = classes.select("id", "n", "registers").mapInArrow(lean(_bands), "bucket bigint, id bigint, n bigint, bits bigint")
     lead = F.min(F.struct("id", "n", "bits")).alias("lead")
     counts = bands.groupBy("bucket").agg(lead, F.max("id").alias("high"), F.count(F.lit(1)).alias("times"))
     shared = counts.filter("lead.id < high").select("bucket", "times", *_leader("lead"))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
-from functools import cache
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,6 +52,46 @@ def _archive() -> str:
 _SHIPPED: set[str] = set()
 
 
+_KEPT: list = []
+
+
+def kept(make: Callable) -> Callable:
+    """``cache`` for what a worker keeps between the tasks of one operator, until tasks of a ``lean`` one begin."""
+    _KEPT.append(cache(make))
+    return _KEPT[-1]
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def _drop_kept() -> None:
+    if any(made.cache_info().currsize for made in _KEPT):
+        for made in _KEPT:
+            made.cache_clear()
+        _give_back()
+
+
+def lean(run: Callable) -> Callable:
+    """A task's function that frees what other operators keep in its worker, and gives its own memory back at its
+    end. Workers live on, and what all of them hold counts against one executor."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _drop_kept()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return task
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the workers, once per application: the operators' functions import it."""
     context = spark.sparkContext

@@ -7,19 +7,19 @@ ranked pairs and a linked list, once per distinct word of a worker; no identifie
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm import wordbpe
+from orderlake.llm.staging import kept
 
 #: Texts counted together; their pieces are in memory at once.
 TEXTS_AT_ONCE = 256
 
 
-@cache
+@kept
 def _counter(path: str) -> wordbpe.Remembered:
     bpe = wordbpe.load(path)
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterable
-from functools import cache
 from heapq import heapify, heappop, heappush
 from pathlib import Path
 
 import numpy as np
 from tokenizers import Tokenizer
 
+from orderlake.llm.staging import kept
+
 #: Distinct pieces and words a task or worker remembers; beyond that it starts anew.
 REMEMBERED = 1 << 19
 #: Stands for the end of a word inside symbols; a private character no byte maps to.
@@ -107,7 +108,7 @@ class WordBpe:
         return [*map(self.symbols.__getitem__, word[:-1]), self.symbols[word[-1] + END]]
 
 
-@cache
+@kept
 def load(path: str) -> WordBpe:
     return WordBpe(path)
 

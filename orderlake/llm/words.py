@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text worked on at a time; one longer text is taken alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # Odd multipliers of the hashes, and the two steps of a 64-bit finalizer.
 BYTE_BASE, WORD_BASE, OTHER_BASE = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)
@@ -105,7 +105,7 @@ class Splitter:
         self._bytes = PrefixHash(BYTE_BASE)
 
     def slices(self, column: pa.Array) -> Iterator[Words]:
-        """Words of an Arrow column, a few megabytes of text at a time; null texts have none."""
+        """Words of an Arrow column, a bounded volume of text at a time; null texts have none."""
         column = column.cast(pa.large_binary())
         offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
         buffer = column.buffers()[2]
