@@ -60,9 +60,10 @@ def order_items(star: Star) -> DataFrame:
     known = order_key % GUEST_EVERY != 0
     member = known & (F.col("c_mktsegment") == "BUILDING")
     corrupt = (F.col("l_orderkey") % CORRUPT_EVERY == 0) & (F.col("l_linenumber") == 1)
+    # customers are found per order, not per line
+    orders = star.orders.join(star.customer, user == F.col("c_custkey"))
     joined = (
-        star.lineitem.join(star.orders, F.col("l_orderkey") == order_key)
-        .join(star.customer, user == F.col("c_custkey"))
+        star.lineitem.join(orders, F.col("l_orderkey") == order_key)
         .join(star.part, F.col("l_partkey") == F.col("p_partkey"))
     )
     return joined.select(
