@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from orderlake.functions.columns import as_date
 from orderlake.operators.asof import last_known
 from orderlake.operators.joins import join_unique, present
+from orderlake.operators.once import computed_once
 from orderlake.operators.ranking import Edge, Order, tile, tile_edges, tile_number
 
 # Tiers of the highest and lowest spend quintile, of all others, and of a customer not yet
@@ -81,9 +82,10 @@ def customer_value(lines: DataFrame) -> DataFrame:
     total. Where the tiles begin is at most four customers, and comparing with those tags the rows in
     place: neither tiers nor daily rows are shuffled for a join.
     """
-    daily = daily_spend(lines)
-    (edges,) = tile_edges(latest_value(daily), TILES, [SPENDING])
-    return tagged(with_latest(daily), edges)
+    valued = computed_once(with_latest(daily_spend(lines)), "valued")
+    people = valued.groupBy("USER_ID").agg(F.max("LATEST_LTV").alias("LATEST_LTV"))
+    (edges,) = tile_edges(people, TILES, [SPENDING])
+    return tagged(valued, edges)
 
 
 def with_latest(daily: DataFrame) -> DataFrame:
@@ -137,6 +139,7 @@ def rfm_scores(scores: DataFrame) -> DataFrame:
         "F_SCORE": Order("FREQUENCY", "USER_ID"),
         "M_SCORE": Order("MONETARY", "USER_ID"),
     }
+    scores = computed_once(scores, "scores")
     edges = tile_edges(scores, TILES, [*orders.values()])
     return scores.withColumns({name: tile_number(e, order) for (name, order), e in zip(orders.items(), edges)})
 
@@ -175,6 +178,7 @@ def tags_on(daily: DataFrame, days: dict[str, str | dt.date]) -> DataFrame:
         *[F.max(F.when(past, F.col("RUNNING_LTV"))).alias(f"LTV_{n}") for n, past in until.items()],
         *[F.coalesce(F.bool_or(past), F.lit(False)).alias(f"IN_{n}") for n, past in until.items()],
     )
+    values = computed_once(values, "values")
     orders = {name: Order(f"LTV_{name}", "USER_ID", among=f"IN_{name}") for name in days}
     edges = tile_edges(values, TILES, [*orders.values()])
     tiles = {f"TILE_{name}": tile_number(e, order) for (name, order), e in zip(orders.items(), edges)}

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
+from orderlake.operators.once import computed_once
+
 #: Buckets a range of values is cut into per round; rows of a range that are simply looked at.
 BUCKETS, FEW = 4096, 2048
 #: Characters of the key told apart per round.
@@ -232,6 +234,7 @@ def tile_number(edges: list[Edge], order: Order) -> Column:
 
 def tile(df: DataFrame, k: int, order: Order, name: str) -> DataFrame:
     """``ntile(k)`` over the whole frame."""
+    df = computed_once(df, "tiled")
     (edges,) = tile_edges(df, k, [order])
     return df.withColumn(name, tile_number(edges, order))
 
@@ -242,6 +245,7 @@ def rank_desc(df: DataFrame, value: str, key: str, name: str) -> DataFrame:
     Rows are ranked in windows of bounded size, each beginning at a known position. Rows of the value a
     window begins with may begin in an earlier one, and take their rank from there.
     """
+    df = computed_once(df, "ranked")
     order = Order(value, key, descending=True)
     ((edges, n),) = _edges(df, _windows, [order])
     begins = [0, *starts_of(n, _windows(n))]
