@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.functions.columns import as_date, per_order
@@ -100,30 +100,48 @@ def _revenue_over(lines: DataFrame, columns: tuple[str, ...], sets: list[tuple[s
     """Revenue and distinct orders for several subsets of the columns at once. A column outside the
     subset is null and sets its bit in ``GROUPING_LEVEL``, the first column's being the highest.
 
-    Grouping sets with a distinct count would shuffle every slice once per subset. Here slices come
-    together by order first; within an order each cell is reduced to one row in place, and cells are
-    then counted with map-side combining. An order has no more slices than the result has rows.
+    Grouping sets with a distinct count would shuffle every slice once per subset. Here lines come together by
+    order once. For each subset the first slice an order has in a cell is marked, which takes a sort within
+    the order per chain of subsets and makes no further rows. Marks and revenue add up over the
+    finest cells, and only those are summed for every subset.
     """
     kinds = dict(lines.dtypes)
+    slices = order_slices(lines.repartition("ORDER_ID"), *columns)
+    first = {}
+    for by in _chains(columns, sets):
+        for i, kept in enumerate(sets):
+            if i not in first and len(kept) < len(columns) and set(by[: len(kept)]) == set(kept):
+                inside = Window.partitionBy("ORDER_ID", *by[: len(kept)]).orderBy(*by[len(kept) :])
+                slices = slices.withColumn(f"_row{i}", F.row_number().over(inside))
+                first[i] = F.col(f"_row{i}") == 1
+    marks = {i: F.col("ORDER_ID").isNotNull() & first.get(i, F.lit(True)) for i in range(len(sets))}
+    finest = slices.groupBy(*columns).agg(
+        F.sum("LINE_REVENUE").alias("LINE_REVENUE"), *[F.count_if(mark).alias(f"_orders{i}") for i, mark in marks.items()]
+    )
     cells = [
         F.struct(
             F.lit(sum(1 << i for i, c in enumerate(reversed(columns)) if c not in kept)).alias("GROUPING_LEVEL"),
             *[(F.col(c) if c in kept else F.lit(None).cast(kinds[c])).alias(c) for c in columns],
+            F.col(f"_orders{n}").alias("_orders"),
         )
-        for kept in sets
+        for n, kept in enumerate(sets)
     ]
-    group = ["GROUPING_LEVEL", *columns]
     return (
-        order_slices(lines, *columns)
-        .repartition("ORDER_ID")
-        .select("ORDER_ID", "LINE_REVENUE", F.inline(F.array(*cells)))
-        .groupBy("ORDER_ID", *group)
-        .agg(F.sum("LINE_REVENUE").alias("LINE_REVENUE"))
-        .groupBy(*group)
-        .agg(_revenue(), F.count("ORDER_ID").alias("NUM_ORDERS"))
+        finest.select("LINE_REVENUE", F.inline(F.array(*cells)))
+        .groupBy("GROUPING_LEVEL", *columns)
+        .agg(_revenue(), F.sum("_orders").alias("NUM_ORDERS"))
     )
 
 
+def _chains(columns: tuple[str, ...], sets: list[tuple[str, ...]]) -> list[tuple[str, ...]]:
+    """Orders of the columns such that every subset is how one of them begins."""
+    chains: list[tuple[str, ...]] = []
+    for kept in sorted(sets, key=len, reverse=True):
+        if not any(set(by[: len(kept)]) == set(kept) for by in chains):
+            chains.append((*kept, *[c for c in columns if c not in kept]))
+    return chains
+
+
 def location_channel(lines: DataFrame) -> DataFrame:
     """Revenue by restaurant and channel with subtotals per restaurant and in total."""
     columns = ("RESTAURANT_ID", "APP_NAME")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orderlake.operators import customers, enrich, incremental, quality, sales
+from orderlake.operators import customers, enrich, incremental, once, quality, sales
 from orderlake.plans.queries import Tables, registered
 from orderlake.sources.sinks import replace_partitions
 
@@ -170,3 +170,37 @@ def test_gold_slices_shrink_what_is_shuffled_again(spark, small_data):
     silver = Tables(spark, small_data).silver
     slices = sales.order_slices(silver, "USER_ID", "RESTAURANT_ID", "ORDER_DATE")
     assert slices.count() <= silver.count()
+
+
+def test_customers_are_joined_to_orders_and_not_to_lines(spark, small_data, shuffled):
+    text = plan(Tables(spark, small_data).items)
+    lines = [line for line in text.splitlines() if "Exchange hashpartitioning(o_custkey" in line]
+    assert len(lines) == 1
+    below = text[text.index(lines[0]) :]
+    assert "orders.parquet" in below and below.index("orders.parquet") < (below + "lineitem.parquet").index("lineitem.parquet")
+
+
+@pytest.mark.parametrize("name", ["clv", "rfm_scores", "customer_quintile", "clv_tag_migration", "clv_tag_history", "location_rank"])
+def test_tiled_rows_of_large_tables_are_computed_once(spark, small_data, settings, monkeypatch, tmp_path, name):
+    want = registered()[name](spark, small_data).collect()
+    settings(spark__checkpoint__dir=str(tmp_path))
+    monkeypatch.setattr(once, "LARGE", 1)
+    got = registered()[name](spark, small_data)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want), key=repr)
+    text = plan(got)
+    assert "lineitem.parquet" not in text and str(tmp_path) in text
+
+
+def test_subtotals_make_no_rows_per_order_and_subset(spark, small_data):
+    text = plan(registered()["revenue_cube"](spark, small_data))
+    # cells are made of sums over all orders
+    assert text.index("Generate inline") < text.index("Window [")
+
+
+def test_rows_that_differ_in_where_a_null_is_are_not_equal(spark):
+    from orderlake.operators import profile
+
+    rows = [("a", None), (None, "a"), ("a", None), ("", "a"), ("aa", ""), ("a", "a")]
+    assert profile.duplicate_rows({"t": spark.createDataFrame(rows, "x string, y string")}).first().NUM_DUPLICATES == 1
+    text = plan(profile.duplicate_rows({"t": spark.createDataFrame(rows, "x string, y string")}))
+    assert "hashpartitioning(x" not in text
