@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of the files a frame is made of from which on it is written; joining and shuffling fewer again is cheaper.
@@ -15,7 +15,7 @@ def computed_once(df: DataFrame, name: str) -> DataFrame:
     """The frame, written to the folder ``spark.checkpoint.dir`` names and read back, so that what it is made of is
     joined and shuffled once. Made of little, or without such a folder, it is left to every reader to compute."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = _folder(spark)
     if not folder or _input_bytes(df) < LARGE:
         return df
     path = f"{folder.rstrip('/')}/orderlake/{uuid.uuid4().hex}/{name}"
@@ -23,6 +23,10 @@ def computed_once(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def _input_bytes(df: DataFrame) -> int:
     """The size of the files, of which only the names and sizes are read; 0 for a frame made of none."""
     files = df.inputFiles()

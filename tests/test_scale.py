@@ -181,9 +181,9 @@ def test_customers_are_joined_to_orders_and_not_to_lines(spark, small_data, shuf
 
 
 @pytest.mark.parametrize("name", ["clv", "rfm_scores", "customer_quintile", "clv_tag_migration", "clv_tag_history", "location_rank"])
-def test_tiled_rows_of_large_tables_are_computed_once(spark, small_data, settings, monkeypatch, tmp_path, name):
+def test_tiled_rows_of_large_tables_are_computed_once(spark, small_data, monkeypatch, tmp_path, name):
     want = registered()[name](spark, small_data).collect()
-    settings(spark__checkpoint__dir=str(tmp_path))
+    monkeypatch.setattr(once, "_folder", lambda spark: str(tmp_path))
     monkeypatch.setattr(once, "LARGE", 1)
     got = registered()[name](spark, small_data)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want), key=repr)
